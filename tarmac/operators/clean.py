@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.kinds import numeric_columns
-from tarmac.functions.nulls import null_mask
+from tarmac.functions.nulls import null_bits, null_mask
 from tarmac.operators.quantiles import quantiles
 
 DROP_COLUMN = "drop_column"
@@ -90,27 +90,35 @@ class NullPolicyModel:
 def null_pattern_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
     """(mask, cnt, s_0..s_k): one row per distinct NULL pattern over ``cols``.
 
-    Partial aggregation runs before the shuffle, so a pattern held by most rows
-    (the usual case: nothing missing) costs one row per task, not a hot key.
+    The mask is a bigint bitmask (a string for more than 63 columns). Partial
+    aggregation runs before the shuffle, so a pattern held by most rows (the usual
+    case: nothing missing) costs one row per task, not a hot key.
     """
-    return df.groupBy(null_mask(cols).alias("mask")).agg(
+    mask = null_bits(cols) if len(cols) <= 63 else null_mask(cols)
+    return df.groupBy(mask.alias("mask")).agg(
         F.count(F.lit(1)).alias("cnt"),
         *[F.sum(F.col(c).cast("double")).alias(f"s_{i}") for i, c in enumerate(cols)],
     )
 
 
+def _is_null(mask, i: int) -> bool:
+    if isinstance(mask, str):
+        return mask[i] == "1"
+    return bool((int(mask) >> i) & 1)
+
+
 def _walk_patterns(rows, cols, n_rows, drop_column_above, drop_rows_at_most) -> list[ColumnAction]:
     surviving = [(r["mask"], int(r["cnt"]), [r[f"s_{i}"] for i in range(len(cols))]) for r in rows]
     actions = []
     for i, c in enumerate(cols):
-        missing = sum(cnt for mask, cnt, _ in surviving if mask[i] == "1")
+        missing = sum(cnt for mask, cnt, _ in surviving if _is_null(mask, i))
         if missing > drop_column_above * n_rows:
             actions.append(ColumnAction(c, DROP_COLUMN, missing))
         elif missing <= drop_rows_at_most * n_rows:
             actions.append(ColumnAction(c, DROP_ROWS, missing))
-            surviving = [p for p in surviving if p[0][i] == "0"]
+            surviving = [p for p in surviving if not _is_null(p[0], i)]
         else:
-            present = [(cnt, s[i]) for mask, cnt, s in surviving if mask[i] == "0"]
+            present = [(cnt, s[i]) for mask, cnt, s in surviving if not _is_null(mask, i)]
             n_present = sum(cnt for cnt, _ in present)
             mean = math.fsum(s for _, s in present if s is not None) / n_present if n_present else None
             actions.append(ColumnAction(c, IMPUTE, missing, mean))

@@ -76,12 +76,13 @@ class IndexModel:
         if self.distributed:
             return self._transform_join(df, suffix)
         tmp = [f"__idx_{i}" for i in range(len(self.cols))]
-        model = StringIndexerModel.from_arrays_of_labels(
-            [self.labels[c] for c in self.cols], inputCols=self.cols, outputCols=tmp,
-            handleInvalid=self.handle_invalid,
-        )
-        src = df.select(*[F.col(c).cast("string").alias(c) if c in self.cols else F.col(c) for c in df.columns])
-        out = model.transform(src)
+        out = df.select(*[F.col(c).cast("string").alias(c) if c in self.cols else F.col(c) for c in df.columns])
+        # One single-column model per column: the multi-column constructor pads shorter
+        # label arrays with NULLs, which shifts the 'keep' index and breaks the metadata.
+        for c, t in zip(self.cols, tmp):
+            out = StringIndexerModel.from_labels(
+                self.labels[c], inputCol=c, outputCol=t, handleInvalid=self.handle_invalid
+            ).transform(out)
         proj = []
         for c in df.columns:
             if c in self.cols:
@@ -139,16 +140,19 @@ def fit_index(
     src = df.na.drop(how="any", subset=cols) if handle_invalid == "skip" else df
     counts = label_counts(src, cols)
     if method != "distributed":
-        sizes = {r["column"]: int(r["n"]) for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-        total = sum(sizes.values())
-        if method == "driver" or total <= max_driver_labels:
-            if method == "driver" and total > max_driver_labels:
-                raise ValueError(f"{total} labels exceed max_driver_labels={max_driver_labels}")
-            rows = counts.orderBy(F.col("column"), *_order_exprs(order)).collect()
+        # one scan; the limit bounds what reaches the driver before its size is known
+        rows = counts.limit(max_driver_labels + 1).collect()
+        if len(rows) <= max_driver_labels:
+            if order == FREQUENCY_DESC:
+                rows.sort(key=lambda r: (r["column"], -r["cnt"], r["value"].encode("utf-8")))
+            else:
+                rows.sort(key=lambda r: (r["column"], r["value"].encode("utf-8")))
             labels = {c: [] for c in cols}
             for r in rows:
                 labels[r["column"]].append(r["value"])
             return IndexModel(cols, order, handle_invalid, labels=labels, out_type=out_type)
+        if method == "driver":
+            raise ValueError(f"more than max_driver_labels={max_driver_labels} labels")
     codes = cumulative_before(counts, _order_exprs(order), group="column", out="idx").select(
         "column", "value", F.col("idx").cast("double").alias("idx")
     )

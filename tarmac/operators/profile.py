@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.kinds import column_kinds, numeric_columns, string_columns
-from tarmac.operators.quantiles import quantiles
+from tarmac.operators.quantiles import exact_quantiles_with, quantiles
 
 
 def _unpivot(one_row: DataFrame, names: list[str], fields: dict[str, list[str]]) -> DataFrame:
@@ -131,18 +131,19 @@ def describe(
             F.min(x).alias(f"min_{i}"),
             F.max(x).alias(f"max_{i}"),
         ]
-    moments = _unpivot(df.agg(*aggs), cols, {c: ["count", "mean", "std", "min", "max"] for c in cols})
     probs = [0.25, 0.5, 0.75]
     if exact:
-        q = quantiles(df, cols, probs, exact=True, interpolation="linear")
+        # the moments ride along in the quantiles' first scan
+        q, m = exact_quantiles_with(df, cols, probs, interpolation="linear", extra_aggs=aggs)
     else:
         q = quantiles(df, cols, probs, exact=False, relative_error=relative_error)
-    qdf = spark.createDataFrame(
-        [(c, *[None if v is None else float(v) for v in q[c]]) for c in cols],
-        "column_name string, q25 double, q50 double, q75 double",
-    )
-    return moments.join(F.broadcast(qdf), "column_name").select(
-        "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+        m = df.agg(*aggs).first()
+    rows = [(c, m[f"count_{i}"], m[f"mean_{i}"], m[f"std_{i}"], m[f"min_{i}"],
+             *[None if v is None else float(v) for v in q[c]], m[f"max_{i}"])
+            for i, c in enumerate(cols)]
+    return spark.createDataFrame(
+        rows, "column_name string, count bigint, mean double, std double, min double, "
+              "q25 double, q50 double, q75 double, max double",
     )
 
 

@@ -5,8 +5,9 @@ Label tables are computed by us in one aggregate over all columns, as
 
 * small (<= ``max_driver_labels`` labels in total): the labels go into a built-in
   ``StringIndexerModel`` (a JVM lookup, inside whole-stage codegen's neighbourhood);
-* large: codes are computed distributedly with ``cumulative_before`` and joined back
-  per column; AQE splits a hot value's partition in the join.
+* large: codes are computed distributedly with ``cumulative_before``, checkpointed
+  once, and joined back per column; values holding at least 1/P of the rows are
+  split off and broadcast (at most P of them exist), the rest use a sort-merge join.
 
 Orders: ``frequencyDesc`` (most frequent = 0, ties by value ascending, as Spark's
 StringIndexer does) and ``alphabetAsc`` (byte order of the value).
@@ -55,7 +56,7 @@ class IndexModel:
     order: str
     handle_invalid: str
     labels: dict[str, list[str]] | None = None      # small path
-    codes: DataFrame | None = None                   # distributed path: (column, value, idx)
+    codes: DataFrame | None = None                   # distributed path: (column, value, idx, cnt)
     out_type: str = "double"
 
     @property
@@ -96,16 +97,34 @@ class IndexModel:
         return out.select(*proj)
 
     def _transform_join(self, df: DataFrame, suffix: str | None) -> DataFrame:
+        """Join each column with its codes, splitting hot values off.
+
+        A value with at least 1/P of the column's rows (P = shuffle partitions) would
+        make one join task hold all of them. At most P values can be that frequent, so
+        their codes are broadcast (a proven bound) and their rows never shuffle; the
+        remaining rows go through a sort-merge join in which no value exceeds one
+        partition's share.
+        """
+        spark = df.sparkSession
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         out = df
         for c in self.cols:
-            d = self.codes.where(F.col("column") == c).select(
-                F.col("value").alias(f"__v_{c}"), F.col("idx").alias(f"__i_{c}")
-            )
+            codes_c = self.codes.where(F.col("column") == c)
+            stat = codes_c.agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("rows")).first()
+            n_labels, rows = int(stat["n"]), int(stat["rows"] or 0)
+            pairs = codes_c.select(F.col("value").alias(f"__v_{c}"), F.col("idx").alias(f"__i_{c}"),
+                                   F.col("cnt").alias(f"__n_{c}"))
+            hot_cut = max(rows / max(parts, 1), 1.0)
+            hot = pairs.where(F.col(f"__n_{c}") >= F.lit(hot_cut)).drop(f"__n_{c}")
+            cold = pairs.where(F.col(f"__n_{c}") < F.lit(hot_cut)).drop(f"__n_{c}")
+            key = out[c].cast("string")
             how = "inner" if self.handle_invalid == "skip" else "left"
-            out = out.join(d, out[c].cast("string") == d[f"__v_{c}"], how)
+            hot_rows = out.join(F.broadcast(hot), key == hot[f"__v_{c}"], "inner")
+            rest = out.join(F.broadcast(hot), key == hot[f"__v_{c}"], "left_anti")
+            cold_rows = rest.join(cold, rest[c].cast("string") == cold[f"__v_{c}"], how)
+            out = hot_rows.unionByName(cold_rows)
             if self.handle_invalid == "keep":
-                n = self.codes.where(F.col("column") == c).count()
-                out = out.withColumn(f"__i_{c}", F.coalesce(F.col(f"__i_{c}"), F.lit(float(n))))
+                out = out.withColumn(f"__i_{c}", F.coalesce(F.col(f"__i_{c}"), F.lit(float(n_labels))))
             elif self.handle_invalid == "error":
                 out = out.withColumn(
                     f"__i_{c}",
@@ -154,8 +173,8 @@ def fit_index(
         if method == "driver":
             raise ValueError(f"more than max_driver_labels={max_driver_labels} labels")
     codes = cumulative_before(counts, _order_exprs(order), group="column", out="idx").select(
-        "column", "value", F.col("idx").cast("double").alias("idx")
-    )
+        "column", "value", F.col("idx").cast("double").alias("idx"), "cnt"
+    ).checkpoint(eager=True)   # the dictionary is reused per column: compute it once
     return IndexModel(cols, order, handle_invalid, codes=codes, out_type=out_type)
 
 

@@ -6,8 +6,8 @@ Label tables are computed by us in one aggregate over all columns, as
 * small (<= ``max_driver_labels`` labels in total): the labels go into a built-in
   ``StringIndexerModel`` (a JVM lookup, inside whole-stage codegen's neighbourhood);
 * large: codes are computed distributedly with ``cumulative_before``, checkpointed
-  once, and joined back per column; values holding at least 1/P of the rows are
-  split off and broadcast (at most P of them exist), the rest use a sort-merge join.
+  once, and joined back per column; values holding at least 1/P of the rows (at most
+  P of them exist) are salted over S join tasks instead of landing in one.
 
 Orders: ``frequencyDesc`` (most frequent = 0, ties by value ascending, as Spark's
 StringIndexer does) and ``alphabetAsc`` (byte order of the value).
@@ -97,32 +97,53 @@ class IndexModel:
         return out.select(*proj)
 
     def _transform_join(self, df: DataFrame, suffix: str | None) -> DataFrame:
-        """Join each column with its codes, splitting hot values off.
+        """Join each column with its codes, salting hot values.
 
         A value with at least 1/P of the column's rows (P = shuffle partitions) would
-        make one join task hold all of them. At most P values can be that frequent, so
-        their codes are broadcast (a proven bound) and their rows never shuffle; the
-        remaining rows go through a sort-merge join in which no value exceeds one
-        partition's share.
+        put all of them into one join task. At most P values can be that frequent, so
+        the hot set is a bounded literal: rows with a hot (or NULL) value get a salt in
+        [0, S) from their position, other rows salt 0; the dictionary repeats each hot
+        entry once per salt (at most P*S rows). One join on (value, salt) then spreads
+        every hot value over S tasks, with no second branch over the input.
         """
         spark = df.sparkSession
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(parts, 1)
+        # the salt is the row's position: duplicates of one row spread too, and since every
+        # salt has its own copy of the dictionary entry, results do not depend on it
+        row_pos = F.monotonically_increasing_id()
+        # label count and row total per column, then the hot values of every column:
+        # two small jobs for all columns (at most `salts` hot values per column)
+        totals = {r["column"]: (int(r["n"]), int(r["rows"] or 0)) for r in
+                  self.codes.groupBy("column").agg(F.count(F.lit(1)).alias("n"),
+                                                   F.sum("cnt").alias("rows")).collect()}
+        cut = self.codes.sparkSession.createDataFrame(
+            [(c, max(rows / salts, 1.0)) for c, (_, rows) in totals.items()] or [("", 1.0)],
+            "column string, cut double")
+        hot_all: dict[str, list[str]] = {}
+        for r in self.codes.join(F.broadcast(cut), "column").where(F.col("cnt") >= F.col("cut")) \
+                .select("column", "value").collect():
+            hot_all.setdefault(r["column"], []).append(r["value"])
         out = df
         for c in self.cols:
             codes_c = self.codes.where(F.col("column") == c)
-            stat = codes_c.agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("rows")).first()
-            n_labels, rows = int(stat["n"]), int(stat["rows"] or 0)
-            pairs = codes_c.select(F.col("value").alias(f"__v_{c}"), F.col("idx").alias(f"__i_{c}"),
-                                   F.col("cnt").alias(f"__n_{c}"))
-            hot_cut = max(rows / max(parts, 1), 1.0)
-            hot = pairs.where(F.col(f"__n_{c}") >= F.lit(hot_cut)).drop(f"__n_{c}")
-            cold = pairs.where(F.col(f"__n_{c}") < F.lit(hot_cut)).drop(f"__n_{c}")
-            key = out[c].cast("string")
+            n_labels = totals.get(c, (0, 0))[0]
+            hot = hot_all.get(c, [])
+            key = F.col(c).cast("string")
+            spread = key.isNull() | (key.isin(hot) if hot else F.lit(False))
+            out = out.withColumn(f"__k_{c}", key).withColumn(
+                f"__s_{c}", F.when(spread, F.pmod(row_pos, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+            cold_codes = codes_c.where(~F.col("value").isin(hot) if hot else F.lit(True)) \
+                .select(F.col("value").alias(f"__v_{c}"), F.col("idx").alias(f"__i_{c}"),
+                        F.lit(0).alias(f"__s_{c}"))
+            hot_codes = codes_c.where(F.col("value").isin(hot) if hot else F.lit(False)).select(
+                F.col("value").alias(f"__v_{c}"), F.col("idx").alias(f"__i_{c}"),
+                F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(f"__s_{c}"))  # <= P x S rows
+            dictionary = cold_codes.unionByName(hot_codes)
             how = "inner" if self.handle_invalid == "skip" else "left"
-            hot_rows = out.join(F.broadcast(hot), key == hot[f"__v_{c}"], "inner")
-            rest = out.join(F.broadcast(hot), key == hot[f"__v_{c}"], "left_anti")
-            cold_rows = rest.join(cold, rest[c].cast("string") == cold[f"__v_{c}"], how)
-            out = hot_rows.unionByName(cold_rows)
+            out = out.join(dictionary, (F.col(f"__k_{c}") == F.col(f"__v_{c}"))
+                           & (out[f"__s_{c}"] == dictionary[f"__s_{c}"]), how) \
+                .drop(f"__k_{c}", f"__v_{c}").drop(dictionary[f"__s_{c}"]).drop(f"__s_{c}")
             if self.handle_invalid == "keep":
                 out = out.withColumn(f"__i_{c}", F.coalesce(F.col(f"__i_{c}"), F.lit(float(n_labels))))
             elif self.handle_invalid == "error":

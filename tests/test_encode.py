@@ -90,3 +90,14 @@ def test_categorize_roundtrip(spark, cats):
     coded2, m2 = E.fit_index(df, ["v"], E.ALPHABET_ASC, "keep", method="distributed"), None
     back2 = E.decode(coded2.transform(df, suffix="_code"), coded2, ["v"])
     assert back2.where(F.col("v") != F.col("v_decoded")).count() == 0
+
+
+def test_distributed_join_with_hot_value_matches_driver(spark):
+    rows = [("hot",)] * 600 + [(f"v{i:04d}",) for i in range(500)] + [(None,)] * 100
+    df = spark.createDataFrame(rows, "v string")
+    for how in ("keep", "skip"):
+        a = E.fit_index(df, ["v"], E.FREQUENCY_DESC, how)
+        b = E.fit_index(df, ["v"], E.FREQUENCY_DESC, how, method="distributed")
+        ta = sorted(r.v for r in a.transform(df).collect())
+        tb = sorted(r.v for r in b.transform(df).collect())
+        assert ta == tb, how

@@ -438,6 +438,30 @@ def tree_stump() -> str:
     )
 
 
+def stream_score_events() -> str:
+    split = ("((CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10) < 8)")
+    ctes = [
+        "ev AS (SELECT event_id, event_type, CAST(hour(ts) AS DOUBLE) AS hour, value AS label FROM events)",
+        f"tr AS (SELECT * FROM ev WHERE {split})",
+        "lab AS (SELECT v, CAST(row_number() OVER (ORDER BY cnt DESC, v) - 1 AS DOUBLE) AS idx "
+        "FROM (SELECT event_type AS v, count(*) AS cnt FROM tr WHERE event_type IS NOT NULL GROUP BY event_type))",
+        "nl AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM lab)",
+        "xe AS (SELECT ev.event_id, ev.label, coalesce(lab.idx, nl.n) AS x1, ev.hour AS x2 "
+        "FROM ev LEFT JOIN lab ON ev.event_type = lab.v, nl)",
+        f"xt AS (SELECT xe.* FROM xe JOIN tr ON xe.event_id = tr.event_id)",
+        "mo AS (SELECT avg(label) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS s11, var_pop(x2) AS s22, "
+        "covar_pop(x1, x2) AS s12, covar_pop(x1, label) AS s1y, covar_pop(x2, label) AS s2y FROM xt "
+        "WHERE label IS NOT NULL AND x2 IS NOT NULL)",
+        "bb AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, "
+        "(s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, my, m1, m2 FROM mo)",
+        "co AS (SELECT my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM bb)",
+    ]
+    return "WITH " + ",\n".join(ctes) + "\n" + (
+        f"SELECT xe.event_id, xe.label, {rdp('co.b0 + co.b1 * xe.x1 + co.b2 * xe.x2', 4)} AS prediction "
+        "FROM xe, co WHERE xe.x2 IS NOT NULL"
+    )
+
+
 def registry() -> dict[str, str]:
     return {
         "null_profile": null_profile(),
@@ -468,6 +492,7 @@ def registry() -> dict[str, str]:
         "kfold_ols": kfold_ols(),
         "tree_stump": tree_stump(),
         "stream_score": linreg_predict(),
+        "stream_score_events": stream_score_events(),
         "csv_roundtrip": _all_rows(),
         "parquet_roundtrip": _all_rows(),
         "union_sources": union_sources(),

@@ -18,7 +18,7 @@ from tarmac.operators import features as FE
 from tarmac.operators import profile as P
 from tarmac.operators.metrics import regression_metrics
 from tarmac.plans import models as M
-from tarmac.plans.tuning import cross_validate, kfold_ols, param_grid
+from tarmac.plans.tuning import cross_validate, kfold_evaluate, kfold_ols, param_grid
 from tarmac.session import scratch_path
 from tarmac.sources import readers as R
 from tarmac.sources import writers as W
@@ -343,6 +343,44 @@ def q_stream_score(spark, sf_dir):
     return scored.select(*KEYS, F.col(TARGET).alias("label"), round_dp("prediction", 4).alias("prediction"))
 
 
+def q_boosted_predict(spark, sf_dir):
+    """Boosting with 100 rounds of depth-3 trees on squared error."""
+    train, test = _train_test(spark, sf_dir, TREE_FEATURES)
+    model = M.boosted_trees("features", TARGET, n_estimators=100, max_depth=3).fit(train)
+    return _predictions(model, test)
+
+
+def q_kfold_rf(spark, sf_dir):
+    """Hand-written 5-fold loop with a random forest; per-fold RMSE/MAE and their mean."""
+    df = FE.assign_folds(_ship(spark, sf_dir), KEYS, N_FOLDS).select(*KEYS, TARGET, FE.FOLD_COL, *TREE_FEATURES)
+    data = FE.assemble(df.na.drop(), TREE_FEATURES).persist()
+    return kfold_evaluate(lambda: M.random_forest("features", TARGET, num_trees=20, max_depth=5),
+                          data, "features", TARGET)
+
+
+EVENT_FEATURES = ["event_type", "hour"]
+
+
+def _events_features(df):
+    return df.select("event_id", "event_type", F.hour("ts").cast("double").alias("hour"),
+                     F.col("value").alias("label"))
+
+
+def q_stream_score_events(spark, sf_dir):
+    """Fit index + OLS on the training events (hash split on event_id), then score the
+    events table read as a file stream with the batch schema."""
+    from tarmac.streaming.score import file_stream_path, stream_score
+    path = f"{sf_dir}/events.parquet"
+    events = spark.read.parquet(path)
+    feats = FE.hash_split(_events_features(events), ["event_id"])
+    train = feats.where(F.col(FE.SPLIT_COL)).drop(FE.SPLIT_COL)
+    index = E.fit_index(train, ["event_type"], E.FREQUENCY_DESC, "keep")
+    model = M.ols("features", "label").fit(FE.assemble(index.transform(train), EVENT_FEATURES))
+    scored = stream_score(spark, model, file_stream_path(path), events.schema, EVENT_FEATURES,
+                          prepare=lambda s: index.transform(_events_features(s)))
+    return scored.select("event_id", "label", round_dp("prediction", 4).alias("prediction"))
+
+
 def q_sweep_partitions(spark, sf_dir):
     from tarmac.plans.sweep import sweep
     return sweep(spark, lambda: _ship(spark, sf_dir), partition_sizes=[4, 8])
@@ -383,6 +421,9 @@ def registry() -> dict:
         "gbt_predict": q_gbt_predict,
         "cv_grid": q_cv_grid,
         "stream_score": q_stream_score,
+        "stream_score_events": q_stream_score_events,
+        "boosted_predict": q_boosted_predict,
+        "kfold_rf": q_kfold_rf,
         "sweep_partitions": q_sweep_partitions,
         "csv_roundtrip": q_csv_roundtrip,
         "parquet_roundtrip": q_parquet_roundtrip,

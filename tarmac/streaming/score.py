@@ -8,6 +8,8 @@ source directory and stops.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -15,14 +17,26 @@ from pyspark.sql import types as T
 from tarmac.session import scratch_path
 
 
+def file_stream_path(path: str) -> str:
+    """A file source needs a directory or a glob; turn one file into a glob matching
+    exactly that file (its last character becomes a one-letter class)."""
+    if path.endswith("/") or not path:
+        return path
+    return path[:-1] + f"[{path[-1]}]"
+
+
 def scoring_stream(spark: SparkSession, model, source_dir: str, schema: T.StructType,
                    feature_cols: list[str], fmt: str = "parquet",
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """The streaming DataFrame: read with the batch schema, assemble, predict."""
+                   max_files_per_trigger: int | None = None,
+                   prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The streaming DataFrame: read with the batch schema, prepare (the same fitted
+    cleaning/encoding as in batch), assemble, predict."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
+    if prepare is not None:
+        stream = prepare(stream)
     assembled = VectorAssembler(inputCols=feature_cols, outputCol=model.getFeaturesCol(),
                                 handleInvalid="skip").transform(stream)
     return model.transform(assembled).drop(model.getFeaturesCol())
@@ -30,11 +44,12 @@ def scoring_stream(spark: SparkSession, model, source_dir: str, schema: T.Struct
 
 def stream_score(spark: SparkSession, model, source_dir: str, schema: T.StructType,
                  feature_cols: list[str], sink_dir: str | None = None,
-                 timeout_s: int = 600) -> DataFrame:
+                 timeout_s: int = 600,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run the scoring stream over everything available and return the sink as a table."""
     sink_dir = sink_dir or scratch_path(spark, "stream-sink")
     ckpt = scratch_path(spark, "stream-ckpt")
-    query = (scoring_stream(spark, model, source_dir, schema, feature_cols)
+    query = (scoring_stream(spark, model, source_dir, schema, feature_cols, prepare=prepare)
              .writeStream.format("parquet")
              .option("path", sink_dir)
              .option("checkpointLocation", ckpt)

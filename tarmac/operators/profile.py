@@ -93,19 +93,25 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(col_a, col_b, corr): Pearson, pairwise-complete (a pair skips rows where
-    either value is NULL), all pairs from one aggregate."""
+    either value is NULL), all pairs from one scan.
+
+    Each row is exploded into one (pair, x, y) record per column pair and grouped by
+    pair: a small aggregate that stays in generated code, with map-side partial
+    aggregation leaving one row per pair and task before the shuffle (one wide
+    aggregate of many ``corr`` buffers is several times slower).
+    """
     cols = list(cols or numeric_columns(df))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c_{k}")
+    records = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
         for k, (a, b) in enumerate(pairs)
-    ])
-    structs = []
-    for k, (a, b) in enumerate(pairs):
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c_{k}").alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"c_{k}").alias("corr")))
-    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    ])).alias("p")
+    per_pair = df.select(records).select("p.*").groupBy("k").agg(F.corr("x", "y").alias("corr"))
+    names = df.sparkSession.createDataFrame(
+        [(k, a, b) for k, (a, b) in enumerate(pairs)] + [(k, b, a) for k, (a, b) in enumerate(pairs) if a != b],
+        "k int, col_a string, col_b string")
+    # the pair-name table has p^2 rows: bounded by the column count
+    return per_pair.join(F.broadcast(names), "k").select("col_a", "col_b", "corr")
 
 
 def describe(

@@ -381,6 +381,30 @@ def q_stream_score_events(spark, sf_dir):
     return scored.select("event_id", "label", round_dp("prediction", 4).alias("prediction"))
 
 
+def _flow_metrics(fitted, test):
+    m = regression_metrics(fitted.model.transform(test), fitted.config.target, "prediction")
+    return m.select("n", "rmse", "mae", "r2")
+
+
+def q_lr_flow(spark, sf_dir):
+    """60/5 policy -> index -> scale -> split -> linear-regression 2x2 grid, 3-fold CV."""
+    from tarmac.plans.pipeline import fit_pipeline, lr_flow
+    fitted, _, test = fit_pipeline(_ship(spark, sf_dir), lr_flow(TARGET, KEYS))
+    return _flow_metrics(fitted, test)
+
+
+def q_gbt_flow(spark, sf_dir):
+    """IQR filter on the target (factor 3) -> projection -> 40/10 policy + dropna -> index
+    -> scale -> split -> boosted trees (depth 2) with 2-fold CV."""
+    from tarmac.plans.pipeline import fit_pipeline, gbt_flow
+    cols = ["l_returnflag", "l_linestatus", "o_orderpriority", "order_year", "order_month",
+            "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice", TARGET]
+    cfg = gbt_flow(TARGET, KEYS, columns=cols,
+                   categorical=["l_returnflag", "l_linestatus", "o_orderpriority", "order_year", "order_month"])
+    fitted, _, test = fit_pipeline(_ship(spark, sf_dir), cfg)
+    return _flow_metrics(fitted, test)
+
+
 def q_sweep_partitions(spark, sf_dir):
     from tarmac.plans.sweep import sweep
     return sweep(spark, lambda: _ship(spark, sf_dir), partition_sizes=[4, 8])
@@ -425,6 +449,8 @@ def registry() -> dict:
         "boosted_predict": q_boosted_predict,
         "kfold_rf": q_kfold_rf,
         "sweep_partitions": q_sweep_partitions,
+        "lr_flow": q_lr_flow,
+        "gbt_flow": q_gbt_flow,
         "csv_roundtrip": q_csv_roundtrip,
         "parquet_roundtrip": q_parquet_roundtrip,
         "union_sources": q_union_sources,

@@ -24,10 +24,11 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_inval
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid).transform(df)
 
 
-def hash_split(df: DataFrame, keys: list[str], train_share: float = 0.8, buckets: int = 10) -> DataFrame:
-    """Add boolean ``is_train``: bucket (md5 slice 0) < train_share * buckets."""
+def hash_split(df: DataFrame, keys: list[str], train_share: float = 0.8, buckets: int = 10,
+               method: str = "md5") -> DataFrame:
+    """Add boolean ``is_train``: bucket (hash window 0) < train_share * buckets."""
     cut = int(round(train_share * buckets))
-    return df.withColumn(SPLIT_COL, key_bucket(keys, buckets, window=0) < F.lit(cut))
+    return df.withColumn(SPLIT_COL, key_bucket(keys, buckets, window=0, method=method) < F.lit(cut))
 
 
 def split_frames(df: DataFrame, keys: list[str], train_share: float = 0.8,
@@ -42,9 +43,9 @@ def split_frames(df: DataFrame, keys: list[str], train_share: float = 0.8,
             tagged.where(~F.col(SPLIT_COL)).drop(SPLIT_COL))
 
 
-def assign_folds(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
-    """Add int ``fold`` in [0, k) from md5 slice 1 (independent of the split)."""
-    return df.withColumn(FOLD_COL, key_bucket(keys, k, window=1))
+def assign_folds(df: DataFrame, keys: list[str], k: int = 5, method: str = "md5") -> DataFrame:
+    """Add int ``fold`` in [0, k) from hash window 1 (independent of the split)."""
+    return df.withColumn(FOLD_COL, key_bucket(keys, k, window=1, method=method))
 
 
 def fit_scaler(df: DataFrame, input_col: str = "features", output_col: str = "scaled",

@@ -49,3 +49,14 @@ def test_fold_scale_uses_other_folds_population_std(spark):
         for x, g in rows:
             if g == f:
                 assert np.isclose(out[(x, g)], (x - train.mean()) / train.std(ddof=0))
+
+
+def test_xxhash_split_is_layout_free_and_balanced(spark, ship_small):
+    keys = ["l_orderkey", "l_linenumber"]
+    a = sorted(tuple(r) for r in FE.hash_split(ship_small.coalesce(1), keys, method="xxhash64")
+               .select(*keys, "is_train").collect())
+    b = sorted(tuple(r) for r in FE.hash_split(ship_small.repartition(5), keys, method="xxhash64")
+               .select(*keys, "is_train").collect())
+    assert a == b
+    share = sum(1 for r in a if r[2]) / len(a)
+    assert 0.75 < share < 0.85

@@ -41,14 +41,8 @@ def _sf(path: str) -> str:
     return name[2:] if name.startswith("sf") else name
 
 
-def main() -> None:
-    spark = get_session(
-        f"local[{CPUS}]",
-        app_name="tarmac-bench",
-        shuffle_partitions=max(8, CPUS * 2),
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-               "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tarmac-bench-ckpt-")},
-    )
+def run_jobs(spark, sf_dir: str) -> dict[str, float]:
+    """Run the headline jobs on one data directory; returns seconds per job."""
     times: dict[str, float] = {}
 
     def timed(name, fn):
@@ -57,12 +51,9 @@ def main() -> None:
         times[name] = round(time.time() - t, 3)
         return out
 
-    # warm-up (JIT, class loading) - not timed
-    shipments(spark, SF_DIR).limit(100).write.format("noop").mode("overwrite").save()
-
     # ingest: the lineitem/orders join written once as Parquet (the reference converted
     # its CSV to Parquet once); every later job scans this table in parallel
-    raw = timed("ingest", lambda: materialize(shipments(spark, SF_DIR), "bench-shipments"))
+    raw = timed("ingest", lambda: materialize(shipments(spark, sf_dir), "bench-shipments"))
     cleaned_path = scratch_path(spark, "bench-cleaned")
 
     def clean():
@@ -120,10 +111,29 @@ def main() -> None:
 
     timed("kfold_ols", kfold)
     timed("flagship", lambda: run_pipeline(raw).collect())
+    train_s.unpersist()
+    test_s.unpersist()
+    return times
 
+
+def main() -> None:
+    spark = get_session(
+        f"local[{CPUS}]",
+        app_name="tarmac-bench",
+        shuffle_partitions=max(8, CPUS * 2),
+        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+               "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tarmac-bench-ckpt-")},
+    )
+    # JVM warm-up (class loading, JIT, generated-code cache): the same job sequence on
+    # the smallest tables, not timed - a long-running cluster has paid this already
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if warm and os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(SF_DIR):
+        run_jobs(spark, warm)
+    times = run_jobs(spark, SF_DIR)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_job_seconds", "value": total, "unit": "sec",
-                      "queries": times, "sf": _sf(SF_DIR), "cpus": CPUS}))
+                      "queries": times, "sf": _sf(SF_DIR), "cpus": CPUS,
+                      "warmup": _sf(warm) + " untimed" if warm else "none"}))
     spark.stop()
 
 

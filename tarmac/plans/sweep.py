@@ -54,6 +54,17 @@ def sweep(spark: SparkSession, load: Callable[[], DataFrame], partition_sizes: l
     return spark.createDataFrame(records, RUN_SCHEMA)
 
 
+def write_run_records(df: DataFrame, path: str) -> str:
+    """Run records as CSV with a header (one small file per partition)."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
+def read_run_records(spark: SparkSession, path: str) -> DataFrame:
+    """Run records written by ``write_run_records`` (or a CSV with the same columns)."""
+    return spark.read.option("header", True).schema(RUN_SCHEMA).csv(path)
+
+
 def speedup_table(spark: SparkSession, rows: list[tuple[str, int, float]]) -> DataFrame:
     """(model, cores, seconds) -> plus speed-up against the 1-core time of each model."""
     df = spark.createDataFrame(rows, "model string, cores int, seconds double")

@@ -18,6 +18,8 @@ FLIGHT_DOUBLE = [
     "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay",
 ]
 FLIGHT_STRING = ["UniqueCarrier", "TailNum", "Origin", "Dest", "CancellationCode"]
+# columns that identify one flight: the hash key for split and folds
+FLIGHT_KEYS = ["Year", "Month", "DayofMonth", "UniqueCarrier", "FlightNum", "Origin"]
 
 
 def flight_schema() -> T.StructType:

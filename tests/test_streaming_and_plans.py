@@ -9,7 +9,7 @@ from tarmac.operators.clean import fit_null_policy
 from tarmac.operators.features import assemble, split_frames
 from tarmac.plans import models as M
 from tarmac.plans.pipeline import PipelineConfig, fit_pipeline, run_pipeline
-from tarmac.plans.sweep import speedup_table, sweep
+from tarmac.plans.sweep import read_run_records, speedup_table, sweep, write_run_records
 from tarmac.session import scratch_path
 from tarmac.sources.shipments import KEYS, TARGET
 from tarmac.streaming.score import stream_score
@@ -30,6 +30,59 @@ def test_stream_score_equals_batch(spark, ship_small):
     assert got == batch
 
 
+def test_stream_micro_batches_equal_batch(spark, ship_small):
+    from tarmac.streaming.score import scoring_stream
+    df = ship_small.select(*KEYS, TARGET, *FEATS)
+    train, test = split_frames(df, KEYS)
+    model = M.ols("features", TARGET).fit(assemble(train, FEATS))
+    src = scratch_path(spark, "stream-multi")
+    test.repartition(4).write.parquet(src)                     # several files
+    sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    q = (scoring_stream(spark, model, src, test.schema, FEATS, max_files_per_trigger=1)
+         .writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = sorted(tuple(r) for r in spark.read.parquet(sink).select(*KEYS, "prediction").collect())
+    want = sorted(tuple(r) for r in model.transform(assemble(test, FEATS)).select(*KEYS, "prediction").collect())
+    assert got == want and q.recentProgress and len(q.recentProgress) >= 2
+
+
+def test_flight_shaped_pipeline(spark):
+    """The reference's gradient-boosting flow on a flight-shaped frame with a known signal."""
+    import random
+    from tarmac.plans.pipeline import fit_pipeline, gbt_flow
+    from tarmac.sources.readers import FLIGHT_KEYS
+    rnd = random.Random(2)
+    rows = []
+    for i in range(1500):
+        dep = rnd.uniform(500, 2300)
+        carrier = rnd.choice(["WN", "AA", "DL"])
+        arr_delay = rnd.gauss(10, 30)
+        rows.append((2008, 1 + i % 12, 1 + i % 28, 1 + i % 7, carrier, 100 + i, rnd.choice(["IAD", "SFO"]),
+                     dep, arr_delay, None if i % 3 else rnd.uniform(0, 50),
+                     0.8 * arr_delay + (15.0 if carrier == "WN" else 0.0) + rnd.gauss(0, 3)))
+    df = spark.createDataFrame(rows, "Year int, Month int, DayofMonth int, DayOfWeek int, UniqueCarrier string, "
+                                     "FlightNum int, Origin string, DepTime double, ArrDelay double, "
+                                     "LateAircraftDelay double, DepDelay double")
+    cfg = gbt_flow("DepDelay", FLIGHT_KEYS,
+                   columns=["UniqueCarrier", "Origin", "Month", "DayOfWeek", "DepTime", "ArrDelay",
+                            "LateAircraftDelay", "DepDelay"],
+                   categorical=["UniqueCarrier", "Origin", "Month", "DayOfWeek"],
+                   model_params={"max_depth": 2, "max_iter": 10})
+    fitted, train, test = fit_pipeline(df, cfg)
+    assert fitted.policy.action_of("LateAircraftDelay") == "drop_column"     # 2/3 missing > 40%
+    from tarmac.operators.metrics import regression_metrics
+    r = regression_metrics(fitted.model.transform(test), "DepDelay").first()
+    assert r.r2 > 0.8
+
+
+def test_run_records_csv_roundtrip(spark, ship_small):
+    runs = sweep(spark, lambda: ship_small, partition_sizes=[3])
+    path = write_run_records(runs, scratch_path(spark, "runs"))
+    back = read_run_records(spark, path).collect()
+    assert [r.partition_size for r in back] == [3]
+
+
 def _jobs_for(spark, fn) -> int:
     tracker = spark.sparkContext.statusTracker()
     before = set(tracker.getJobIdsForGroup(None))

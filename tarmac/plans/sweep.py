@@ -21,12 +21,16 @@ RUN_SCHEMA = (
 
 
 def run_once(spark: SparkSession, load: Callable[[], DataFrame], model: str = "ols",
-             parallelism: int = 1) -> tuple[float, float, int, float]:
-    """(cleaning seconds, training seconds, clean rows, test RMSE) for one run."""
+             parallelism: int = 1, make_config=None) -> tuple[float, float, int, float]:
+    """(cleaning seconds, training seconds, clean rows, test RMSE) for one run.
+
+    ``make_config(parallelism)`` builds the pipeline configuration (for example a
+    grid-search flow whose CV runs ``parallelism`` fits at a time); by default the
+    pipeline fits ``model`` once."""
     from tarmac.operators.metrics import regression_metrics
     from tarmac.plans.pipeline import PipelineConfig, fit_pipeline
 
-    cfg = PipelineConfig(model=model)
+    cfg = make_config(parallelism) if make_config else PipelineConfig(model=model, parallelism=parallelism)
     t0 = time.time()
     fitted, train_s, test_s = fit_pipeline(load(), cfg)
     rows = train_s.count() + test_s.count()
@@ -39,7 +43,7 @@ def run_once(spark: SparkSession, load: Callable[[], DataFrame], model: str = "o
 
 
 def sweep(spark: SparkSession, load: Callable[[], DataFrame], partition_sizes: list[int],
-          parallelism: list[int] | None = None, model: str = "ols") -> DataFrame:
+          parallelism: list[int] | None = None, model: str = "ols", make_config=None) -> DataFrame:
     """One run record per (partition size, parallelism)."""
     old = spark.conf.get("spark.sql.shuffle.partitions")
     records = []
@@ -47,7 +51,7 @@ def sweep(spark: SparkSession, load: Callable[[], DataFrame], partition_sizes: l
         for ps in partition_sizes:
             spark.conf.set("spark.sql.shuffle.partitions", str(ps))
             for par in parallelism or [1]:
-                c, t, n, rmse = run_once(spark, load, model, par)
+                c, t, n, rmse = run_once(spark, load, model, par, make_config)
                 records.append((ps, par, c, t, n, rmse))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -41,8 +41,9 @@ def read_csv(
     """CSV with a header row.
 
     An explicit ``schema`` is the normal path (no inference pass over the data).
-    ``infer=True`` samples the file once; ``overrides`` then recasts chosen columns,
-    like a per-column dtype override. ``null_value`` ('NA' in the flight files)
+    ``infer=True`` runs Spark's inference pass; ``overrides`` then replace the inferred
+    type of chosen columns *in the read schema* (so '007' read as text stays '007').
+    ``null_value`` ('NA' in the flight files)
     becomes NULL; without it such a column would be read as text.
     ``max_partition_bytes`` sets the split size (block size) of the scan.
     """
@@ -50,12 +51,17 @@ def read_csv(
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(max_partition_bytes)))
     reader = spark.read.option("header", True).option("nullValue", null_value)
     reader = reader.option("mode", "PERMISSIVE")
+    if schema is None and infer:
+        inferred = reader.option("inferSchema", True).csv(path).schema
+        if overrides:
+            inferred = T.StructType([
+                T.StructField(f.name, overrides.get(f.name, f.dataType), True) for f in inferred.fields
+            ])
+        schema = inferred
     if schema is not None:
         reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", True)
     df = reader.csv(path)
-    if overrides:
+    if overrides and not infer:
         df = df.select(*[
             df[c].cast(overrides[c]).alias(c) if c in overrides else df[c] for c in df.columns
         ])

@@ -1,14 +1,12 @@
 """Sinks: Parquet (overwrite), CSV with header, and size-targeted compaction.
 
 A single-file export (``repartition(1)``) would push the whole table through one
-task; ``write_compacted`` instead picks the file count from the table's size so each
-output file is about ``target_file_bytes``.
+task; ``write_compacted`` instead lets AQE size the output partitions so each file
+holds about ``target_file_bytes``.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 
 
@@ -24,10 +22,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str
     return path
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (no job)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def count_files(spark, path: str, suffix: str = ".parquet") -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(1 for st in fs.listStatus(p) if st.getPath().getName().endswith(suffix))
 
 
 def write_compacted(
@@ -35,15 +34,27 @@ def write_compacted(
     path: str,
     target_file_bytes: int = 512 * 1024 * 1024,
     mode: str = "overwrite",
-    max_files: int | None = None,
 ) -> int:
-    """Parquet with roughly ``target_file_bytes`` per file; returns the file count used.
+    """Parquet files of about ``target_file_bytes`` (of shuffle data) each; returns the
+    number of files written.
 
-    ``coalesce`` would shrink the upstream stage's parallelism too, so the file count
-    is set with ``repartition`` (one extra shuffle, full parallelism upstream).
+    The ``rebalance`` hint lets AQE split or coalesce the output partitions to the
+    advisory size from the actual shuffle sizes at run time. Optimizer estimates of a
+    join's size can be off by orders of magnitude, so they are not used. Upstream
+    stages keep their full parallelism (unlike ``coalesce``).
     """
-    n = max(1, math.ceil(estimated_bytes(df) / target_file_bytes))
-    if max_files:
-        n = min(n, max_files)
-    df.repartition(n).write.mode(mode).parquet(path)
-    return n
+    spark = df.sparkSession
+    # the advisory size must win over "as many partitions as cores" while coalescing
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_file_bytes)),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df.hint("rebalance").write.mode(mode).parquet(path)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    return count_files(spark, path)

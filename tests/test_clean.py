@@ -160,3 +160,10 @@ def test_bulk_cast_and_narrow(spark):
     assert dict(out.dtypes) == {"a": "float", "b": "int", "s": "string"}
     out2 = C.bulk_cast(df, {"b": "double"})
     assert dict(out2.dtypes)["b"] == "double"
+
+
+def test_distinct_counts_reports_errors_per_column(spark):
+    from tarmac.operators.profile import distinct_counts
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "y")], "s string, t string")
+    out = {r.column_name: (r.n_distinct, r.error) for r in distinct_counts(df, ["s", "t", "nope"]).collect()}
+    assert out == {"s": (2, None), "t": (2, None), "nope": (None, "column not found")}

@@ -76,11 +76,17 @@ def test_flight_shaped_pipeline(spark):
     assert r.r2 > 0.8
 
 
-def test_run_records_csv_roundtrip(spark, ship_small):
-    runs = sweep(spark, lambda: ship_small, partition_sizes=[3])
+def test_run_records_csv_roundtrip_and_summary(spark, ship_small):
+    from tarmac.operators.profile import describe
+    from tarmac.plans.pipeline import lr_flow
+    runs = sweep(spark, lambda: ship_small, partition_sizes=[3], parallelism=[1, 2],
+                 make_config=lambda par: lr_flow(TARGET, KEYS, parallelism=par,
+                                                 grid={"regParam": [0.1], "elasticNetParam": [0.0]}))
     path = write_run_records(runs, scratch_path(spark, "runs"))
-    back = read_run_records(spark, path).collect()
-    assert [r.partition_size for r in back] == [3]
+    back = read_run_records(spark, path)
+    assert sorted((r.partition_size, r.parallelism) for r in back.collect()) == [(3, 1), (3, 2)]
+    summary = {r.column_name: r for r in describe(back, ["cleaning_time", "training_time"]).collect()}
+    assert summary["training_time"]["count"] == 2
 
 
 def _jobs_for(spark, fn) -> int:

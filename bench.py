@@ -13,12 +13,10 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tarmac.operators import profile as P  # noqa: E402
 from tarmac.operators.clean import fit_null_policy  # noqa: E402
@@ -28,7 +26,7 @@ from tarmac.operators.metrics import regression_metrics  # noqa: E402
 from tarmac.plans import models as M  # noqa: E402
 from tarmac.plans.pipeline import run_pipeline  # noqa: E402
 from tarmac.plans.tuning import cross_validate, kfold_ols, param_grid  # noqa: E402
-from tarmac.session import get_session, scratch_path  # noqa: E402
+from tarmac.session import ensure_checkpoint_dir, get_session, scratch_path  # noqa: E402
 from tarmac.sources.shipments import KEYS, TARGET, shipments  # noqa: E402
 from tarmac.sources.tables import materialize  # noqa: E402
 
@@ -98,7 +96,7 @@ def run_jobs(spark, sf_dir: str) -> dict[str, float]:
 
     def train_gbt():
         gbt = M.gbt("scaled", TARGET, max_depth=2, max_iter=20)
-        folds2 = train_s.withColumn(FOLD_COL, F.col(FOLD_COL) % 2)
+        folds2 = assign_folds(train_s.drop(FOLD_COL), KEYS, 2)  # two even hash folds
         grid = param_grid(gbt, {"maxDepth": [2]})
         model, _ = cross_validate(gbt, grid, folds2, TARGET, fold_col=FOLD_COL, num_folds=2, parallelism=2)
         regression_metrics(model.transform(test_s), TARGET).collect()
@@ -121,9 +119,11 @@ def main() -> None:
         f"local[{CPUS}]",
         app_name="tarmac-bench",
         shuffle_partitions=max(8, CPUS * 2),
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-               "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tarmac-bench-ckpt-")},
+        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
+    # a cluster's shared spark.checkpoint.dir is kept; a local run without one gets a
+    # temp folder (ensure_checkpoint_dir refuses to pick one on a non-local master)
+    ensure_checkpoint_dir(spark)
     # JVM warm-up (class loading, JIT, generated-code cache): the same job sequence on
     # the smallest tables, not timed - a long-running cluster has paid this already
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")

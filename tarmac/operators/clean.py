@@ -226,6 +226,18 @@ def fit_null_policy_threshold(df: DataFrame, keep_share: float = 0.6) -> NullPol
     return NullPolicyModel(actions, n)
 
 
+def fit_null_policy_dropna(df: DataFrame, drop: list[str] | tuple[str, ...] = ()) -> NullPolicyModel:
+    """Drop the named (sparse) columns, then every row that still has a NULL.
+
+    One aggregate records each column's NULL count before the drop (the report); the
+    transform is a projection and one ``na.drop``.
+    """
+    cols = list(df.columns)
+    n, missing, _ = _independent_counts(df, cols, [])
+    actions = [ColumnAction(c, DROP_COLUMN if c in drop else KEEP, missing[c]) for c in cols]
+    return NullPolicyModel(actions, n, drop_any_null=True)
+
+
 def mean_impute(df: DataFrame, cols: list[str]) -> DataFrame:
     """Replace NULL by the column mean (one aggregate for all means)."""
     r = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()

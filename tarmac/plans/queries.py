@@ -405,6 +405,26 @@ def q_gbt_flow(spark, sf_dir):
     return _flow_metrics(fitted, test)
 
 
+def q_rf_flow(spark, sf_dir):
+    """60/5 policy -> index -> scale -> split -> random-forest grid (depth 5/10 x 20/50
+    trees), 3-fold CV, refit on all training rows."""
+    from tarmac.plans.pipeline import fit_pipeline, rf_flow
+    fitted, _, test = fit_pipeline(_ship(spark, sf_dir), rf_flow(TARGET, KEYS))
+    return _flow_metrics(fitted, test)
+
+
+def q_boosted_flow(spark, sf_dir):
+    """Drop the sparse column (l_discount, about 70% NULL) -> drop rows with any NULL ->
+    alphabetical dictionary codes -> prune fixed columns -> split -> boosted trees
+    (100 rounds, depth 3, unscaled) -> MSE and R2 on the test rows."""
+    from tarmac.plans.pipeline import boosted_flow, fit_pipeline
+    cfg = boosted_flow(TARGET, KEYS, drop_columns=["l_discount"],
+                       prune_columns=["o_orderstatus", "order_month"])
+    fitted, _, test = fit_pipeline(_ship(spark, sf_dir), cfg)
+    m = regression_metrics(fitted.model.transform(test), TARGET, "prediction")
+    return m.select("n", "mse", "r2")
+
+
 def q_sweep_partitions(spark, sf_dir):
     from tarmac.plans.sweep import sweep
     return sweep(spark, lambda: _ship(spark, sf_dir), partition_sizes=[4, 8])
@@ -451,6 +471,8 @@ def registry() -> dict:
         "sweep_partitions": q_sweep_partitions,
         "lr_flow": q_lr_flow,
         "gbt_flow": q_gbt_flow,
+        "rf_flow": q_rf_flow,
+        "boosted_flow": q_boosted_flow,
         "csv_roundtrip": q_csv_roundtrip,
         "parquet_roundtrip": q_parquet_roundtrip,
         "union_sources": q_union_sources,

@@ -167,3 +167,15 @@ def test_distinct_counts_reports_errors_per_column(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "y")], "s string, t string")
     out = {r.column_name: (r.n_distinct, r.error) for r in distinct_counts(df, ["s", "t", "nope"]).collect()}
     assert out == {"s": (2, None), "t": (2, None), "nope": (None, "column not found")}
+
+
+def test_dropna_policy_drops_sparse_column_first(spark):
+    # the row with a NULL only in the sparse column survives because that column goes first
+    df = _frame(spark, {"a": [1.0, None, 3.0, 4.0], "sparse": [None, None, None, 9.0],
+                        "s": ["x", "y", None, "z"]}, {"s": "string"})
+    model = C.fit_null_policy_dropna(df, ["sparse"])
+    assert _actions(model) == {"a": C.KEEP, "sparse": C.DROP_COLUMN, "s": C.KEEP}
+    assert {a.column: a.missing for a in model.actions} == {"a": 1, "sparse": 3, "s": 1}
+    out = model.transform(df)
+    assert out.columns == ["a", "s"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1.0, "x"), (4.0, "z")]

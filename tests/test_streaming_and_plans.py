@@ -121,3 +121,20 @@ def test_sweep_and_speedup(spark, ship_small):
     table = {(r.model, r.cores): r.speedup for r in
              speedup_table(spark, [("lr", 1, 10.0), ("lr", 2, 5.0)]).collect()}
     assert table[("lr", 2)] == 2.0
+
+
+def test_boosted_flow_options(spark, ship_small):
+    from tarmac.plans.pipeline import boosted_flow
+    cfg = boosted_flow(TARGET, KEYS, drop_columns=["l_discount"], prune_columns=["o_orderstatus"],
+                       model_params={"n_estimators": 3})
+    fitted, train, test = fit_pipeline(ship_small, cfg)
+    assert fitted.scaler is None and fitted.policy.action_of("l_discount") == "drop_column"
+    assert "o_orderstatus" not in fitted.features and "l_discount" not in fitted.features
+    assert fitted.model.getMaxIter() == 3 and fitted.model.getMaxDepth() == 3
+    # dictionary codes are alphabetical; no NULL survives the policy
+    labels = fitted.index.labels["l_returnflag"]
+    assert labels == sorted(labels)
+    r = train.select(F.count_if(F.col("features") != F.col("scaled")).alias("diff")).first()
+    assert r.diff == 0
+    kept = ship_small.drop("l_discount").na.drop(how="any").count()
+    assert train.count() + test.count() == kept

@@ -45,6 +45,17 @@ def test_directory_union_matches_by_name(spark):
     assert rows == [(1, "x", None), (2, "y", None), (3, "z", "9")]
 
 
+def test_headers_read_concurrently_keep_file_order(spark):
+    base = _local(scratch_path(spark, "headers"))
+    expected = []
+    for i in range(40):
+        header = ("a", "b") if i % 3 else ("b", "a", f"c{i}")
+        _write_text(f"{base}/f{i:02d}.csv", ",".join(header) + "\n")
+        expected.append(header)
+    files = R.list_files(spark, base)
+    assert R.read_headers(spark, files, threads=8) == expected
+
+
 def test_type_override_after_inference(spark):
     from pyspark.sql import types as T
     base = _local(scratch_path(spark, "override"))

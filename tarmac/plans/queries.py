@@ -427,9 +427,20 @@ def q_boosted_flow(spark, sf_dir):
     return m.select("n", "mse", "r2")
 
 
+# The partition sweep's settings (partition sizes; LR grid, 3 folds, CV
+# parallelism 1).
+SWEEP_PARTITIONS = [10, 50, 100, 150, 200, 300]
+SWEEP_GRID = {"regParam": [0.1, 0.01], "elasticNetParam": [0.0, 0.5, 1.0]}
+
+
 def q_sweep_partitions(spark, sf_dir):
+    """One run record per shuffle-partition setting: 60/5 cleaning + encoded table
+    written (cleaning time), then LR grid search with 3-fold CV and test RMSE
+    (training time)."""
+    from tarmac.plans.pipeline import lr_flow
     from tarmac.plans.sweep import sweep
-    return sweep(spark, lambda: _ship(spark, sf_dir), partition_sizes=[4, 8])
+    return sweep(spark, lambda: _ship(spark, sf_dir), partition_sizes=SWEEP_PARTITIONS,
+                 make_config=lambda par: lr_flow(TARGET, KEYS, grid=SWEEP_GRID, parallelism=par))
 
 
 def registry() -> dict:

@@ -24,6 +24,8 @@ def run_once(spark: SparkSession, load: Callable[[], DataFrame], model: str = "o
              parallelism: int = 1, make_config=None) -> tuple[float, float, int, float]:
     """(cleaning seconds, training seconds, clean rows, test RMSE) for one run.
 
+    Cleaning runs until the cleaned, encoded table is written. Training covers the rest:
+    re-read, assemble, scale, fit (or grid search) and the test metrics.
     ``make_config(parallelism)`` builds the pipeline configuration (for example a
     grid-search flow whose CV runs ``parallelism`` fits at a time); by default the
     pipeline fits ``model`` once."""
@@ -31,15 +33,16 @@ def run_once(spark: SparkSession, load: Callable[[], DataFrame], model: str = "o
     from tarmac.plans.pipeline import PipelineConfig, fit_pipeline
 
     cfg = make_config(parallelism) if make_config else PipelineConfig(model=model, parallelism=parallelism)
+    marks: dict = {}
     t0 = time.time()
-    fitted, train_s, test_s = fit_pipeline(load(), cfg)
-    rows = train_s.count() + test_s.count()
-    t1 = time.time()
+    fitted, train_s, test_s = fit_pipeline(load(), cfg, timings=marks)
     preds = fitted.model.transform(test_s)
-    rmse = regression_metrics(preds, cfg.target, "prediction").first()["rmse"]
+    m = regression_metrics(preds, cfg.target, "prediction").first()
     t2 = time.time()
+    t1 = marks.get("cleaned_at", t0)
+    rows = train_s.count() + test_s.count()
     train_s.unpersist()
-    return t1 - t0, t2 - t1, rows, rmse
+    return t1 - t0, t2 - t1, rows, m["rmse"]
 
 
 def sweep(spark: SparkSession, load: Callable[[], DataFrame], partition_sizes: list[int],

@@ -3,6 +3,8 @@ the end-to-end pipeline and the sweep run."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from tarmac.operators.clean import fit_null_policy
@@ -123,6 +125,19 @@ def test_sweep_and_speedup(spark, ship_small):
     assert table[("lr", 2)] == 2.0
 
 
+def test_sweep_splits_cleaning_from_training(spark, ship_small):
+    # cleaning stops when the encoded table is written; the grid search lands in training
+    from tarmac.plans.pipeline import lr_flow
+    from tarmac.plans.sweep import run_once
+    grid = {"regParam": [0.1, 0.01], "elasticNetParam": [0.0, 0.5, 1.0]}
+    t0 = time.time()
+    cleaning, training, rows, rmse = run_once(
+        spark, lambda: ship_small, make_config=lambda par: lr_flow(TARGET, KEYS, grid=grid, parallelism=par))
+    total = time.time() - t0
+    assert cleaning > 0 and training > 0 and cleaning + training <= total
+    assert rows > 0 and rmse > 0
+
+
 def test_boosted_flow_options(spark, ship_small):
     from tarmac.plans.pipeline import boosted_flow
     cfg = boosted_flow(TARGET, KEYS, drop_columns=["l_discount"], prune_columns=["o_orderstatus"],

@@ -357,7 +357,7 @@ def q_kfold_rf(spark, sf_dir):
     df = FE.assign_folds(_ship(spark, sf_dir), KEYS, N_FOLDS).select(*KEYS, TARGET, FE.FOLD_COL, *TREE_FEATURES)
     data = FE.assemble(df.na.drop(), TREE_FEATURES).persist()
     return kfold_evaluate(lambda: M.random_forest("features", TARGET, num_trees=100, max_depth=5),
-                          data, "features", TARGET)
+                          data, "features", TARGET, num_folds=N_FOLDS)
 
 
 EVENT_FEATURES = ["event_type", "hour"]

@@ -104,3 +104,17 @@ def test_metrics_one_aggregate(spark):
     err = np.array([-0.5, 1.0, -0.5])
     assert np.isclose(r.mse, np.mean(err ** 2)) and np.isclose(r.mae, np.mean(np.abs(err)))
     assert np.isclose(r.r2, 1 - np.mean(err ** 2) / np.var([1.0, 2.0, 3.0]))
+
+
+def test_kfold_evaluate_sizes_and_fold_metrics(spark, signal):
+    from tarmac.plans.tuning import kfold_evaluate
+    data = assemble(signal, ["a", "b"])
+    out = {r.fold: r for r in kfold_evaluate(lambda: M.ols("features", "y"), data, "features", "y",
+                                             num_folds=5).collect()}
+    assert sorted(out) == [0, 1, 2, 3, 4]
+    assert all(r.n_test == 600 and r.n_train == 2400 for r in out.values())
+    # fold 0 against a fit on the other folds
+    model = M.ols("features", "y").fit(data.where(F.col("fold") != 0))
+    ref = regression_metrics(model.transform(data.where(F.col("fold") == 0)), "y").first()
+    assert out[0].rmse == pytest.approx(ref.rmse, rel=1e-9)
+    assert out[0].mean_rmse == pytest.approx(sum(r.rmse for r in out.values()) / 5, rel=1e-9)

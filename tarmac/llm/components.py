@@ -29,7 +29,7 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v); component is its least node."""
-    edges = save(edges.select("u", "v").where("u <> v"), "edges")
+    edges = edges.select("u", "v").where("u <> v")
     before = None
     while True:
         edges = save(_star(_star(edges, True), False), "edges")

@@ -10,8 +10,8 @@ says is the same for all documents, so the order is one order whatever its error
    list entry (token, group, size, position) is made per group and prefix shingle.
 2. Group pairs come from shared tokens, filtered by size and position. Short posting lists
    give their pairs; in long ones (a token of more than ``LONG`` groups) members are compared
-   with a pivot of the list, several rounds, and then only members of different components
-   with each other. So copies are not expanded into all pairs, and no link between
+   with a few pivots of the list, and then only members of different components with each
+   other. So copies are not expanded into all pairs, and no link between
    components is lost.
 3. Group pairs expand to class pairs, which are verified on the whole sets.
 4. Components of the verified links; every document gets the least id of its component.
@@ -35,7 +35,8 @@ from tarmac.llm.components import components
 
 #: Groups of a posting list that are compared pair by pair.
 LONG = 32
-PIVOT_ROUNDS = 3
+#: Members of a longer list that are compared with all its members.
+PIVOTS = 4
 _HASHES = WordHashes()
 
 
@@ -130,8 +131,7 @@ class Join:
         return save(kept.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("set").alias("set")), "sets")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole sets are alike enough."""
-        pairs = save(pairs, "pairs")
+        """The (saved) pairs (a, b) whose whole sets are alike enough."""
         sets = self.sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
         share = self.share
 
@@ -177,16 +177,15 @@ class Join:
         counts = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
         shared = save(postings.join(counts, "token"), "postings")
         long = shared.where(F.col("c") > LONG)
-        tested = save(expand(self.short_pairs(shared.where(F.col("c") <= LONG))), "tested")
+        pairs = self.short_pairs(shared.where(F.col("c") <= LONG))
+        for seed in range(PIVOTS):
+            pairs = pairs.union(self.pivot_pairs(long, seed))
+        tested = save(expand(pairs.distinct()), "tested")
         links = self.verified(tested)
         if long.isEmpty():
             return links
-        for step in range(PIVOT_ROUNDS + 1):
-            pairs = expand(self.pivot_pairs(long, step) if step < PIVOT_ROUNDS else self.across(long, links))
-            new = save(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-            tested = tested.union(new)
-            links = links.union(self.verified(new))
-        return links
+        rest = save(expand(self.across(long, links)).join(tested, ["a", "b"], "left_anti"), "rest")
+        return links if rest.isEmpty() else links.union(self.verified(rest))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id)."""

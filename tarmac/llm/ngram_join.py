@@ -2,9 +2,11 @@
 
 A document's set holds 64-bit hashes of its distinct five-word shingles. Two sets of likeness
 t or more must share a shingle among their first |x| - ceil(t |x|) + 1 in any fixed order
-(prefix filter). The order here puts often met shingles last: they are counted over all
-documents' prefixes and noted in a Bloom filter of fixed size, which is broadcast; what it
-says is the same for all documents, so the order is one order whatever its errors.
+(prefix filter). The order here puts shared shingles late and often met ones last: they are
+counted over all documents' prefixes by hash, and those met twice and those met often are
+noted in two Bloom filters of fixed size, which are broadcast. What these say is the same
+for all documents, so the order is one order whatever their errors. A document that shares
+only passages with others so has a prefix that no other document has.
 
 1. Equal sets make a class, and classes of equal prefix and size a group; only one posting
    list entry (token, group, size, position) is made per group and prefix shingle.
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.bloom import Bloom, empty_bloom, in_bloom, make_bloom
+from tarmac.llm.bloom import Bloom, in_bloom, make_bloom
 from tarmac.llm.common import WordHashes, id_and_text, lower_words, map_slices, mix, save
 from tarmac.llm.components import components
 
@@ -52,11 +54,13 @@ def shingle_set(text: str, n: int = 5) -> np.ndarray:
     return np.unique(out)
 
 
-def prefix_of(tokens: np.ndarray, bloom: Bloom, share: int) -> np.ndarray:
-    """The prefix of a set in the common order: often met shingles last, else by hash."""
+def prefix_of(tokens: np.ndarray, blooms: list[Bloom], share: int) -> np.ndarray:
+    """The prefix of a set in the common order: by the last filter that knows a shingle
+    (none first), then by hash."""
     n = len(tokens)
     size = n - (share * n + 99) // 100 + 1
-    order = np.lexsort((mix(tokens), in_bloom(bloom, tokens)))
+    known = sum((in_bloom(b, tokens).astype(np.int8) for b in blooms), np.zeros(n, np.int8))
+    order = np.lexsort((mix(tokens), known))
     return tokens[order[:size]]
 
 
@@ -78,7 +82,7 @@ class Join:
     def signatures(self) -> DataFrame:
         """One row per document: size, hash of the whole set, prefix and its hash."""
         n, share = self.n, self.share
-        empty = empty_bloom()
+        
 
         def tokens(batches):
             from tarmac.llm.common import slices
@@ -86,17 +90,19 @@ class Join:
             for batch in batches:
                 for part in slices(batch):
                     sets = [shingle_set(t, n) for t in part.column("text").to_pylist()]
-                    got = np.concatenate([prefix_of(s, empty, share) for s in sets if len(s)] or [np.zeros(0, np.uint64)])
+                    got = np.concatenate([prefix_of(s, [], share) for s in sets if len(s)] or [np.zeros(0, np.uint64)])
                     own, count = np.unique(got, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(count)], names=["token", "c"])
 
-        often = self.docs.mapInArrow(tokens, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") > LONG)
-        hot = make_bloom(often, "token")
+        counts = self.docs.mapInArrow(tokens, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
+        counts = save(counts.where("c > 1"), "counts")
+        twice = make_bloom(counts, "token", 25)
+        hot = make_bloom(counts.where(F.col("c") > LONG), "token")
 
         def task():
             def each(part: pa.RecordBatch) -> dict:
                 sets = [shingle_set(t, n) for t in part.column("text").to_pylist()]
-                firsts = [prefix_of(s, hot.value, share) if len(s) else s for s in sets]
+                firsts = [prefix_of(s, [twice.value, hot.value], share) if len(s) else s for s in sets]
                 signed = lambda xs: pa.array([np.uint64(x).astype(np.int64) for x in xs], pa.int64())
                 digest = lambda s, k: np.bitwise_xor.reduce(mix(s * np.uint64(k))) if len(s) else 0
                 return {

@@ -44,7 +44,7 @@ GRAM = 50
 PART = 1 << 20
 #: Suffixes of one gram that are sorted together.
 BLOCK = 4000
-BLOOM_BITS = 26
+BLOOM_BITS = 25
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:

@@ -18,7 +18,7 @@ import tarmac
 from tarmac.session import ensure_checkpoint_dir, scratch_path
 
 #: Bytes of text handled at a time inside a task.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,7 +106,7 @@ class WordHashes(dict):
     """word (bytes) -> 64-bit hash, computed once per distinct word; cleared when it has
     ``limit`` entries (it is only a cache)."""
 
-    limit = 1 << 19
+    limit = 1 << 18
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

@@ -65,10 +65,12 @@ def prefix_of(tokens: np.ndarray, blooms: list[Bloom], share: int) -> np.ndarray
 
 
 def similar_pairs_filter(a: str, b: str, share: int) -> F.Column:
-    """Size and position filters for two posting entries of one token."""
+    """Size and position filters for two posting entries of one token. At the first token that
+    two sets share nothing before it is shared, so what remains bounds the overlap; alike sets
+    pass there, whatever their later tokens say."""
     na, nb, pa_, pb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.pos"), F.col(f"{b}.pos")
     # needed overlap: 100 o >= share (na + nb - o)
-    possible = 1 + F.least(na - pa_ - 1, nb - pb - 1) + F.least(pa_, pb)
+    possible = F.least(na - pa_, nb - pb)
     return (100 * F.least(na, nb) >= share * F.greatest(na, nb)) & ((100 + share) * possible >= share * (na + nb))
 
 

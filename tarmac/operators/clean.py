@@ -58,6 +58,7 @@ class NullPolicyModel:
     def transform(self, df: DataFrame) -> DataFrame:
         dropped = {a.column for a in self.actions if a.action == DROP_COLUMN}
         impute = {a.column: a.mean for a in self.actions if a.action == IMPUTE}
+        unseen = {a.column: a.missing == 0 for a in self.actions}
         cond: Column | None = None
         for a in self.actions:
             if a.action == DROP_ROWS:
@@ -70,7 +71,11 @@ class NullPolicyModel:
             if c in dropped:
                 continue
             if c in impute and impute[c] is not None:
-                proj.append(F.coalesce(F.col(c).cast("double"), F.lit(float(impute[c]))).alias(c))
+                if unseen[c]:  # nothing was missing in the fit: the column keeps its type
+                    filler = F.lit(float(impute[c])).cast(df.schema[c].dataType)
+                    proj.append(F.coalesce(F.col(c), filler).alias(c))
+                else:
+                    proj.append(F.coalesce(F.col(c).cast("double"), F.lit(float(impute[c]))).alias(c))
             else:
                 proj.append(F.col(c))
         out = df.select(*proj)
@@ -208,11 +213,13 @@ def fit_null_policy_ratio(
     return NullPolicyModel(actions, n, drop_any_null=drop_remaining_nulls)
 
 
-def fit_null_policy_threshold(df: DataFrame, keep_share: float = 0.6) -> NullPolicyModel:
+def fit_null_policy_threshold(df: DataFrame, keep_share: float = 0.6,
+                              exclude: list[str] | tuple[str, ...] = ()) -> NullPolicyModel:
     """Keep a column (any type) only if it has at least ``int(keep_share*n)`` non-NULL
-    values; mean-impute every remaining numeric column (mean over all rows)."""
-    cols = list(df.columns)
-    nums = numeric_columns(df)
+    values; mean-impute every remaining numeric column (mean over all rows). Columns in
+    ``exclude`` (keys, the target) are not judged and never changed."""
+    cols = [c for c in df.columns if c not in exclude]
+    nums = [c for c in numeric_columns(df) if c in cols]
     n, missing, means = _independent_counts(df, cols, nums)
     thresh = int(keep_share * n)
     actions = []

@@ -99,26 +99,26 @@ class IndexModel:
     def _transform_join(self, df: DataFrame, suffix: str | None) -> DataFrame:
         """Join each column with its codes, salting hot values.
 
-        A value with at least 1/P of the column's rows (P = shuffle partitions) would
-        put all of them into one join task. At most P values can be that frequent, so
+        A value with several times an average partition's rows (P = shuffle partitions)
+        would make one join task the slowest. At most P / 4 values can be that frequent, so
         the hot set is a bounded literal: rows with a hot (or NULL) value get a salt in
-        [0, S) from their position, other rows salt 0; the dictionary repeats each hot
-        entry once per salt (at most P*S rows). One join on (value, salt) then spreads
-        every hot value over S tasks, with no second branch over the input.
+        [0, S) from a hash of the whole row, other rows salt 0; the dictionary repeats each
+        hot entry once per salt. One join on (value, salt) then spreads every hot value over
+        S tasks, with no second branch over the input. The hash is the same when a task is
+        run again, and works on streams.
         """
         spark = df.sparkSession
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         salts = max(parts, 1)
-        # the salt is the row's position: duplicates of one row spread too, and since every
-        # salt has its own copy of the dictionary entry, results do not depend on it
-        row_pos = F.monotonically_increasing_id()
+        # every salt has its own copy of the dictionary entry: results do not depend on it
+        row_pos = F.xxhash64(*[df[c] for c in df.columns])
         # label count and row total per column, then the hot values of every column:
         # two small jobs for all columns (at most `salts` hot values per column)
         totals = {r["column"]: (int(r["n"]), int(r["rows"] or 0)) for r in
                   self.codes.groupBy("column").agg(F.count(F.lit(1)).alias("n"),
                                                    F.sum("cnt").alias("rows")).collect()}
         cut = self.codes.sparkSession.createDataFrame(
-            [(c, max(rows / salts, 1.0)) for c, (_, rows) in totals.items()] or [("", 1.0)],
+            [(c, max(4 * rows / salts, 1.0)) for c, (_, rows) in totals.items()] or [("", 1.0)],
             "column string, cut double")
         hot_all: dict[str, list[str]] = {}
         for r in self.codes.join(F.broadcast(cut), "column").where(F.col("cnt") >= F.col("cut")) \
@@ -220,9 +220,6 @@ def dictionary_encode(df: DataFrame, cols: list[str], method: str = "auto", **kw
 
     ``method='distributed'`` never brings the dictionary to the driver.
     """
-    for c in cols:
-        if c not in df.columns:
-            raise ValueError(f"Column '{c}' not found in the DataFrame")
     model = fit_index(df, cols, ALPHABET_ASC, "keep", method=method, out_type="int", **kw)
     return model.transform(df), model
 
@@ -234,7 +231,8 @@ def categorize(df: DataFrame, cols: list[str]) -> tuple[DataFrame, IndexModel]:
 
 
 def decode(df: DataFrame, model: IndexModel, cols: list[str] | None = None, suffix: str = "_code") -> DataFrame:
-    """Back from codes to labels with ``IndexToString`` (small label sets) or a join."""
+    """Back from codes to labels with ``IndexToString`` (small label sets) or a join; the code
+    of NULL and unseen values becomes NULL."""
     cols = cols or model.cols
     if model.distributed:
         out = df
@@ -245,7 +243,9 @@ def decode(df: DataFrame, model: IndexModel, cols: list[str] | None = None, suff
         return out
     out = df
     for c in cols:
-        out = IndexToString(inputCol=c + suffix, outputCol=f"{c}_decoded", labels=model.labels[c]).transform(
-            out.withColumn(c + suffix, F.col(c + suffix).cast("double"))
-        )
+        # the code after the last label stands for NULL and unseen values
+        labels, code, known = model.labels[c], F.col(c + suffix).cast("double"), f"__known_{c}"
+        out = out.withColumn(c + suffix, code).withColumn(known, F.coalesce(code, F.lit(float(len(labels)))))
+        out = IndexToString(inputCol=known, outputCol=f"{c}_decoded", labels=[*labels, ""]).transform(out)
+        out = out.withColumn(f"{c}_decoded", F.when(F.col(known) < len(labels), F.col(f"{c}_decoded"))).drop(known)
     return out

@@ -24,10 +24,21 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_inval
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid).transform(df)
 
 
-def hash_split(df: DataFrame, keys: list[str], train_share: float = 0.8, buckets: int = 10,
+def hash_split(df: DataFrame, keys: list[str], train_share: float = 0.8, buckets: int | None = None,
                method: str = "md5") -> DataFrame:
-    """Add boolean ``is_train``: bucket (hash window 0) < train_share * buckets."""
+    """Add boolean ``is_train``: bucket (hash window 0) < train_share * buckets.
+
+    Without ``buckets``, the least power of ten that gives the share exactly (10 for 0.8,
+    100 for 0.95), 1,000,000 at most; given ``buckets`` must express the share."""
+    if not 0 < train_share < 1:
+        raise ValueError("train_share must be between 0 and 1")
+    if buckets is None:
+        exact = (b for b in (10, 100, 1000, 10_000, 100_000)
+                 if abs(train_share * b - round(train_share * b)) < 1e-9)
+        buckets = next(exact, 1_000_000)
     cut = int(round(train_share * buckets))
+    if not 0 < cut < buckets:
+        raise ValueError(f"{buckets} buckets cannot express a share of {train_share}")
     return df.withColumn(SPLIT_COL, key_bucket(keys, buckets, window=0, method=method) < F.lit(cut))
 
 

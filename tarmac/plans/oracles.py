@@ -492,6 +492,7 @@ def registry() -> dict[str, str]:
         "kfold_ols": kfold_ols(),
         "tree_stump": tree_stump(),
         "stream_score": linreg_predict(),
+        "stream_resume": linreg_predict(),
         "stream_score_events": stream_score_events(),
         "csv_roundtrip": _all_rows(),
         "parquet_roundtrip": _all_rows(),

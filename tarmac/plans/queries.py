@@ -343,6 +343,19 @@ def q_stream_score(spark, sf_dir):
     return scored.select(*KEYS, F.col(TARGET).alias("label"), round_dp("prediction", 4).alias("prediction"))
 
 
+def q_stream_resume(spark, sf_dir):
+    """Two scoring runs into one sink, with files added in between."""
+    from tarmac.streaming.score import stream_score
+    model, _, test = _ols_fit(spark, sf_dir)
+    rows = test.drop("features")
+    src, sink = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-sink")
+    first = F.pmod(F.xxhash64(*KEYS), F.lit(2)) == 0
+    for part in (rows.where(first), rows.where(~first)):
+        part.write.mode("append").parquet(src)
+        scored = stream_score(spark, model, src, rows.schema, OLS_FEATURES, sink_dir=sink)
+    return scored.select(*KEYS, F.col(TARGET).alias("label"), round_dp("prediction", 4).alias("prediction"))
+
+
 def q_boosted_predict(spark, sf_dir):
     """Boosting with 100 rounds of depth-3 trees on squared error."""
     train, test = _train_test(spark, sf_dir, TREE_FEATURES)
@@ -478,6 +491,7 @@ def registry() -> dict:
         "gbt_predict": q_gbt_predict,
         "cv_grid": q_cv_grid,
         "stream_score": q_stream_score,
+        "stream_resume": q_stream_resume,
         "stream_score_events": q_stream_score_events,
         "boosted_predict": q_boosted_predict,
         "kfold_rf": q_kfold_rf,

@@ -48,7 +48,12 @@ def read_csv(
     becomes NULL; without it such a column would be read as text.
     ``max_partition_bytes`` sets the split size (block size) of the scan.
     """
-    if max_partition_bytes:
+    if max_partition_bytes:  # in a session of its own: the caller's scans keep their split size
+        settings = dict(spark.conf.getAll)
+        spark = spark.newSession()
+        for k, v in settings.items():
+            if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
+                spark.conf.set(k, v)
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(max_partition_bytes)))
     reader = spark.read.option("header", True).option("nullValue", null_value)
     reader = reader.option("mode", "PERMISSIVE")
@@ -60,7 +65,8 @@ def read_csv(
             ])
         schema = inferred
     if schema is not None:
-        reader = reader.schema(schema)
+        # a header that names other columns, or in another order, fails instead of swapping values
+        reader = reader.schema(schema).option("enforceSchema", False)
     df = reader.csv(path)
     if overrides and not infer:
         df = df.select(*[

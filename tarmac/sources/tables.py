@@ -2,10 +2,8 @@
 
 Writing a prepared table as Parquet and reading it back cuts the lineage (a lost
 executor re-reads files instead of recomputing joins and cleaning), and lets later
-passes scan it in parallel. When the plan has fewer partitions than the cluster has
-cores (a source file with one row group yields one task), the table is spread first,
-by a hash of its columns: deterministic on retry, and without the local sort that a
-round-robin repartition needs to stay deterministic.
+passes scan it in parallel. A rebalance hint lets AQE size the written partitions (a source
+file with one row group would else stay one task); the plan runs once, with the write.
 """
 
 from __future__ import annotations
@@ -18,8 +16,9 @@ from tarmac.session import scratch_path
 def materialize(df: DataFrame, name: str = "table", partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    target = partitions or spark.sparkContext.defaultParallelism
-    if partitions or df.rdd.getNumPartitions() < target:
-        df = df.repartition(target, *[df[c] for c in df.columns])
+    if partitions:
+        df = df.repartition(partitions, *[df[c] for c in df.columns])
+    else:
+        df = df.hint("rebalance")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -12,8 +12,8 @@ only passages with others so has a prefix that no other document has.
    list entry (token, group, size, position) is made per group and prefix shingle.
 2. Group pairs come from shared tokens, filtered by size and position. Short posting lists
    give their pairs; in long ones (a token of more than ``LONG`` groups) members are compared
-   with a few pivots of the list, and then only members of different components with each
-   other. So copies are not expanded into all pairs, and no link between
+   with a few pivots of the list, and then those left outside the largest component, in
+   blocks, with all the others. So copies are not expanded into all pairs, and no link between
    components is lost.
 3. Group pairs expand to class pairs, which are verified on the whole sets.
 4. Components of the verified links; every document gets the least id of its component.
@@ -32,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.bloom import Bloom, in_bloom, make_bloom
-from tarmac.llm.common import WordHashes, id_and_text, lower_words, map_slices, mix, save
+from tarmac.llm.common import WordHashes, id_and_text, lower_words, map_slices, mix, partitions, save
 from tarmac.llm.components import components
 
 #: Groups of a posting list that are compared pair by pair.
 LONG = 32
 #: Members of a longer list that are compared with all its members.
 PIVOTS = 4
+#: Members of a cluster of long lists that are held together and compared with all the others.
+BLOCK = 512
 _HASHES = WordHashes()
 
 
@@ -170,17 +172,57 @@ class Join:
         pairs = postings.select("token", F.struct("id", "n", "pos").alias("y")).join(pivots, "token").where("x.id <> y.id")
         return pairs.where(similar_pairs_filter("x", "y", self.share)).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
-    def across(self, postings: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of long lists whose members are in different components so far."""
+    def across(self, postings: DataFrame, links: DataFrame, members_of) -> DataFrame:
+        """Verified links between members of long lists that are in different components so far.
+
+        Lists with one pivot make a cluster. Its members outside the cluster's largest
+        component are dealt to blocks of about ``BLOCK``; all members pass by each block and
+        are compared with the whole block at once, over an index of its shingles. So a task
+        holds one block, and only links become rows.
+        """
         labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        labelled = postings.join(labels, F.col("id") == F.col("node"), "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("c"))
-        open_ = labelled.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
-        labelled = save(labelled.join(open_, "token", "left_semi"), "open")
-        x, y = labelled.alias("x"), labelled.alias("y")
-        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & similar_pairs_filter("x", "y", self.share))
-        return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-
-    def links(self, postings: DataFrame, expand) -> DataFrame:
+        entry = F.min(F.struct(F.xxhash64("id", F.lit(0)).alias("h"), "id"))
+        clusters = postings.groupBy("token").agg(entry.alias("x")).select("token", F.col("x.id").alias("k"))
+        found = members_of(postings.join(clusters, "token").select("k", "id").distinct()).distinct()
+        found = found.join(labels, F.col("id") == F.col("node"), "left").select("k", "id", F.coalesce("component", "id").alias("c"))
+        found = save(found, "clusters")
+        sizes = found.groupBy("k", "c").agg(F.count("*").alias("n"))
+        main = sizes.groupBy("k").agg(F.max(F.struct("n", "c")).alias("m"), F.sum("n").alias("total"))
+        main = main.where("m.n < total").select("k", F.col("m.c").alias("main"), F.ceil((F.col("total") - F.col("m.n")) / BLOCK).cast("int").alias("blocks"))
+        dealt = found.join(main, "k")
+        own = dealt.where("c <> main").select("k", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int").alias("block"), F.lit(0).alias("role"), "id")
+        every = dealt.select("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "id")
+        sets = self.sets(dealt.select("id").distinct())
+        rows = own.union(every).join(sets, "id").select("k", "block", "role", "id", "set")
+        share = self.share
+
+        def compare(batches):
+            key, ids, sizes, index, place = None, [], [], {}, None
+            for batch in batches:
+                a, b = [], []
+                for k, block, role, i, raw in zip(*[batch.column(c).to_pylist() for c in ("k", "block", "role", "id", "set")], strict=True):
+                    if (k, block) != key:
+                        key, ids, sizes, index = (k, block), [], [], {}
+                    tokens = np.frombuffer(raw, np.uint64)
+                    if not role:
+                        for t in tokens.tolist():
+                            index.setdefault(t, []).append(len(ids))
+                        ids.append(i)
+                        sizes.append(len(tokens))
+                        continue
+                    met = [x for t in tokens.tolist() for x in index.get(t, ())]
+                    both = np.bincount(np.array(met, np.int64), minlength=len(ids))
+                    for x in np.flatnonzero(100 * both >= share * (np.array(sizes, np.int64) + len(tokens) - both)).tolist():
+                        if ids[x] != i:
+                            a.append(min(ids[x], i))
+                            b.append(max(ids[x], i))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        n = partitions(self.spark)
+        rows = rows.repartition(n, "k", "block").sortWithinPartitions("k", "block", "role")
+        return save(rows.mapInArrow(compare, "a long, b long"), "links")
+
+    def links(self, postings: DataFrame, expand, members_of) -> DataFrame:
         """Verified class links that connect what the posting lists let meet."""
         counts = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
         shared = save(postings.join(counts, "token"), "postings")
@@ -192,8 +234,7 @@ class Join:
         links = self.verified(tested)
         if long.isEmpty():
             return links
-        rest = save(expand(self.across(long, links)).join(tested, ["a", "b"], "left_anti"), "rest")
-        return links if rest.isEmpty() else links.union(self.verified(rest))
+        return links.union(self.across(long, links, members_of))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id)."""
@@ -208,13 +249,17 @@ class Join:
             m = members.select("g", "id")
             return pairs.join(m.select(F.col("g").alias("a"), F.col("id").alias("ca")), "a").join(m.select(F.col("g").alias("b"), F.col("id").alias("cb")), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
 
+        def members_of(found: DataFrame) -> DataFrame:
+            """The classes of the groups ``id`` of (k, id)."""
+            return found.withColumnRenamed("id", "g").join(members.select("g", "id"), "g").select("k", "id")
+
         lead = full.withColumn("id", F.col("doc_id").cast("long")).join(groups.select(F.col("g").alias("id")), "id", "left_semi")
         lead = lead.dropDuplicates(["id", "p"]) if self.repeated(full) else lead
         postings = lead.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-        links = self.links(postings, expand)
+        links = self.links(postings, expand, members_of)
         inner = save(members.where("k > 1").select(F.col("g").alias("token"), "id", "n", F.lit(0).alias("pos")), "inner")
         if not inner.isEmpty():
-            links = links.union(self.links(inner, lambda p: p))
+            links = links.union(self.links(inner, lambda p: p, lambda m: m))
         if self.repeated(full):  # texts that differ under one id are one document
             same = full.join(classes.withColumnRenamed("id", "c"), ["n", "p", "s1", "s2"]).select(F.col("doc_id").cast("long").alias("a"), F.col("c").alias("b")).where("a <> b")
             links = links.union(same)

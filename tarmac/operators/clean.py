@@ -7,15 +7,13 @@ so the plan does not grow with one node per column and per job.
 The sequential 60/5 policy (column k is judged on the rows left after the row drops
 of columns 1..k-1, against a fixed total) is fitted from a *null-pattern histogram*:
 ``groupBy(null mask).agg(count, sum(c)...)``. The histogram has one row per distinct
-pattern of NULLs - few in practice - and the walk over columns happens on it on the
-driver, exactly reproducing the sequential rule with one scan. When the data has more
-patterns than ``pattern_limit``, the fit falls back to one aggregate per column over
-the progressively filtered frame (still distributed, just more jobs).
+pattern of NULLs and is written to the shared folder; the walk over columns aggregates it,
+exactly reproducing the sequential rule with one scan of the data, whatever the number of
+patterns. Only counts and sums per column reach the driver.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +23,7 @@ from pyspark.sql import types as T
 from tarmac.functions.kinds import numeric_columns
 from tarmac.functions.nulls import null_bits, null_mask
 from tarmac.operators.quantiles import quantiles
+from tarmac.sources.tables import materialize
 
 DROP_COLUMN = "drop_column"
 DROP_ROWS = "drop_rows"
@@ -106,46 +105,45 @@ def null_pattern_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def _is_null(mask, i: int) -> bool:
-    if isinstance(mask, str):
-        return mask[i] == "1"
-    return bool((int(mask) >> i) & 1)
+def _pattern_lacks(i: int, n_cols: int) -> Column:
+    """Whether a pattern of the histogram has column ``i`` NULL."""
+    if n_cols <= 63:
+        return F.col("mask").bitwiseAND(F.lit(1 << i)) != 0
+    return F.substring("mask", i + 1, 1) == "1"
 
 
-def _walk_patterns(rows, cols, n_rows, drop_column_above, drop_rows_at_most) -> list[ColumnAction]:
-    surviving = [(r["mask"], int(r["cnt"]), [r[f"s_{i}"] for i in range(len(cols))]) for r in rows]
-    actions = []
-    for i, c in enumerate(cols):
-        missing = sum(cnt for mask, cnt, _ in surviving if _is_null(mask, i))
-        if missing > drop_column_above * n_rows:
-            actions.append(ColumnAction(c, DROP_COLUMN, missing))
-        elif missing <= drop_rows_at_most * n_rows:
-            actions.append(ColumnAction(c, DROP_ROWS, missing))
-            surviving = [p for p in surviving if not _is_null(p[0], i)]
-        else:
-            present = [(cnt, s[i]) for mask, cnt, s in surviving if not _is_null(mask, i)]
-            n_present = sum(cnt for cnt, _ in present)
-            mean = math.fsum(s for _, s in present if s is not None) / n_present if n_present else None
-            actions.append(ColumnAction(c, IMPUTE, missing, mean))
-    return actions
+def _walk_histogram(hist: DataFrame, cols: list[str], drop_column_above: float,
+                    drop_rows_at_most: float) -> tuple[list[ColumnAction], int]:
+    """(actions, rows before cleaning) from the written histogram.
 
-
-def _walk_sequential(df, cols, n_rows, drop_column_above, drop_rows_at_most) -> list[ColumnAction]:
-    actions = []
-    current = df
-    for c in cols:
-        r = current.agg(
-            F.count_if(F.col(c).isNull()).alias("missing"), F.avg(F.col(c).cast("double")).alias("mean")
+    One aggregate gives every column's missing count and sum over the patterns still left;
+    it holds until a column drops rows, and is then taken again.
+    """
+    lacks = [_pattern_lacks(i, len(cols)) for i in range(len(cols))]
+    left, n_rows, actions = hist, None, []
+    while n_rows is None or len(actions) < len(cols):
+        todo = range(len(actions), len(cols))
+        r = left.agg(
+            F.sum("cnt").alias("n"),
+            *[F.sum(F.when(lacks[i], F.col("cnt"))).alias(f"m_{i}") for i in todo],
+            *[F.sum(f"s_{i}").alias(f"t_{i}") for i in todo],
         ).first()
-        missing = int(r["missing"])
-        if missing > drop_column_above * n_rows:
-            actions.append(ColumnAction(c, DROP_COLUMN, missing))
-        elif missing <= drop_rows_at_most * n_rows:
-            actions.append(ColumnAction(c, DROP_ROWS, missing))
-            current = current.where(F.col(c).isNotNull())
-        else:
-            actions.append(ColumnAction(c, IMPUTE, missing, r["mean"]))
-    return actions
+        n = int(r["n"] or 0)
+        n_rows = n if n_rows is None else n_rows
+        for i in todo:
+            missing = int(r[f"m_{i}"] or 0)
+            if missing > drop_column_above * n_rows:
+                actions.append(ColumnAction(cols[i], DROP_COLUMN, missing))
+            elif missing <= drop_rows_at_most * n_rows:
+                actions.append(ColumnAction(cols[i], DROP_ROWS, missing))
+                if missing:
+                    left = left.where(~lacks[i])
+                    break
+            else:
+                present = n - missing
+                mean = r[f"t_{i}"] / present if present else None
+                actions.append(ColumnAction(cols[i], IMPUTE, missing, mean))
+    return actions, n_rows
 
 
 def fit_null_policy(
@@ -153,7 +151,6 @@ def fit_null_policy(
     cols: list[str] | None = None,
     drop_column_above: float = 0.6,
     drop_rows_at_most: float = 0.05,
-    pattern_limit: int = 100_000,
 ) -> NullPolicyModel:
     """Sequential three-tier policy on numeric columns (default 60/5).
 
@@ -163,14 +160,8 @@ def fit_null_policy(
     the rows still left.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
-    hist = null_pattern_histogram(df, cols)
-    rows = hist.limit(pattern_limit + 1).collect()
-    n_rows = sum(int(r["cnt"]) for r in rows)
-    if len(rows) > pattern_limit:
-        n_rows = df.count()
-        actions = _walk_sequential(df, cols, n_rows, drop_column_above, drop_rows_at_most)
-    else:
-        actions = _walk_patterns(rows, cols, n_rows, drop_column_above, drop_rows_at_most)
+    hist = materialize(null_pattern_histogram(df, cols), "null-patterns")
+    actions, n_rows = _walk_histogram(hist, cols, drop_column_above, drop_rows_at_most)
     return NullPolicyModel(actions, n_rows)
 
 

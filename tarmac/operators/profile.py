@@ -93,25 +93,55 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(col_a, col_b, corr): Pearson, pairwise-complete (a pair skips rows where
-    either value is NULL), all pairs from one scan.
+    either value is NULL). NULL where a pair has no rows or one side does not vary.
 
-    Each row is exploded into one (pair, x, y) record per column pair and grouped by
-    pair: a small aggregate that stays in generated code, with map-side partial
-    aggregation leaving one row per pair and task before the shuffle (one wide
-    aggregate of many ``corr`` buffers is several times slower).
+    Two scans: the columns' means, then one aggregate of plain sums of centred products
+    under both-not-null masks. Rows are never multiplied, and one row of sums per task
+    is shuffled.
     """
     cols = list(cols or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    records = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for k, (a, b) in enumerate(pairs)
-    ])).alias("p")
-    per_pair = df.select(records).select("p.*").groupBy("k").agg(F.corr("x", "y").alias("corr"))
-    names = df.sparkSession.createDataFrame(
-        [(k, a, b) for k, (a, b) in enumerate(pairs)] + [(k, b, a) for k, (a, b) in enumerate(pairs) if a != b],
-        "k int, col_a string, col_b string")
-    # the pair-name table has p^2 rows: bounded by the column count
-    return per_pair.join(F.broadcast(names), "k").select("col_a", "col_b", "corr")
+    if not cols:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    p = range(len(cols))
+    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    first = x.agg(*[f(f"x{i}").alias(f"{f.__name__}{i}") for i in p for f in (F.avg, F.min, F.max)]).first()
+    # a constant column is centred exactly
+    centre = [first[f"min{i}"] if first[f"min{i}"] == first[f"max{i}"] else first[f"avg{i}"] for i in p]
+    x = x.select(*[(F.col(f"x{i}") - F.lit(float(centre[i] or 0.0))).alias(f"x{i}") for i in p])
+    sums = []
+    for i in p:
+        sums += [F.count(f"x{i}").alias(f"n_{i}_{i}"), F.sum(f"x{i}").alias(f"s_{i}_{i}"),
+                 F.sum(F.col(f"x{i}") * F.col(f"x{i}")).alias(f"q_{i}_{i}")]
+        for j in p:
+            if i == j:
+                continue
+            seen = F.when(F.col(f"x{j}").isNotNull(), F.col(f"x{i}"))  # i's values where j has one
+            sums += [F.sum(seen).alias(f"s_{i}_{j}"), F.sum(seen * seen).alias(f"q_{i}_{j}")]
+            if i < j:
+                product = F.col(f"x{i}") * F.col(f"x{j}")
+                sums += [F.count(product).alias(f"n_{i}_{j}"), F.sum(product).alias(f"c_{i}_{j}")]
+    one = x.agg(*sums)
+
+    def spread(i, j):
+        """n times the variance of column i on the rows where j has a value; NULL if it does not vary."""
+        n = F.col(f"n_{min(i, j)}_{max(i, j)}")
+        s, q = F.col(f"s_{i}_{j}"), F.col(f"q_{i}_{j}")
+        v = F.when(n > 0, q - s * s / n)
+        return F.when(v > 1e-12 * q, v)
+
+    def corr(i, j):
+        i, j = min(i, j), max(i, j)
+        if i == j:
+            return F.when(spread(i, i).isNotNull(), F.lit(1.0))
+        n = F.col(f"n_{i}_{j}")
+        joint = F.when(n > 0, F.col(f"c_{i}_{j}") - F.col(f"s_{i}_{j}") * F.col(f"s_{j}_{i}") / n)
+        return joint / F.sqrt(spread(i, j) * spread(j, i))
+
+    names = [(f"corr_{i}_{j}", F.lit(a), F.lit(b), corr(i, j)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    # the pairs' rows are made of the one row of sums
+    return one.select(F.inline(F.array(*[
+        F.struct(a.alias("col_a"), b.alias("col_b"), c.alias("corr")) for _, a, b, c in names
+    ])))
 
 
 def describe(

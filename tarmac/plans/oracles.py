@@ -2,9 +2,9 @@
 
 Each statement starts from the ``shipments`` SELECT over ``lineitem`` and ``orders``.
 Sequential rules (the 60/5 policy, the IQR filter) are CTE chains, one link per
-column. Queries that are not expressible in SQL (tree ensembles, grid search,
-sweeps, column kinds) have no entry here and are checked on row counts and in unit
-tests.
+column. Queries that are not expressible in SQL (large tree ensembles, L1 grids, sweeps)
+have no entry here and are checked on row counts and in unit tests; small exact settings of
+the same estimators (``rf_exact``, ``gbt_exact``, ``linreg_ridge``, ``cv_grid_ridge``) have one.
 """
 
 from __future__ import annotations
@@ -218,6 +218,24 @@ def null_policy_thresh() -> str:
     return _with(*ctes) + _union([one(i, c) for i, c in enumerate(COLUMNS)])
 
 
+def null_policy_thresh_apply() -> str:
+    def one(c):
+        if c not in DOUBLES:
+            return c
+        return f"{rdp(f'coalesce({c}, avg({c}) OVER ())', 6)} AS {c}"
+    kept = [c for c in COLUMNS if c != "l_discount"]  # 70% NULL
+    return _with() + f"SELECT {', '.join(one(c) for c in kept)} FROM shipments"
+
+
+def column_kinds() -> str:
+    def one(c):
+        kind = f"(SELECT any_value(typeof({c})) FROM shipments WHERE {c} IS NOT NULL)"
+        return (f"SELECT '{c}' AS column_name, CASE WHEN {kind} = 'VARCHAR' THEN 'string' ELSE 'numeric' END AS kind, "
+                f"CASE {kind} WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower({kind}) END AS data_type, "
+                f"CAST(count({c}) AS BIGINT) AS n_present FROM shipments")
+    return _with() + _union([one(c) for c in COLUMNS])
+
+
 def mean_impute() -> str:
     return _with() + (
         f"SELECT l_orderkey, l_linenumber, {rdp('coalesce(l_tax, avg(l_tax) OVER ())', 9)} AS l_tax, "
@@ -225,14 +243,19 @@ def mean_impute() -> str:
     )
 
 
-def iqr_filter() -> str:
+def _iqr_chain() -> list[str]:
     f = Q.IQR_FACTOR
     ctes = ["s0 AS (SELECT * FROM shipments)"]
     for i, c in enumerate(Q.IQR_COLS, start=1):
         ctes.append(f"q{i} AS (SELECT quantile_disc({c}, 0.25) AS q1, quantile_disc({c}, 0.75) AS q3 FROM s{i - 1})")
         ctes.append(f"b{i} AS (SELECT q1, q3, q1 - {f} * (q3 - q1) AS lo, q3 + {f} * (q3 - q1) AS hi FROM q{i})")
         ctes.append(f"s{i} AS (SELECT s{i - 1}.* FROM s{i - 1}, b{i} WHERE s{i - 1}.{c} BETWEEN b{i}.lo AND b{i}.hi)")
-        ctes.append(f"n{i} AS (SELECT CAST(count(*) AS BIGINT) AS rows_after FROM s{i})")
+    return ctes
+
+
+def iqr_filter() -> str:
+    ctes = _iqr_chain()
+    ctes += [f"n{i} AS (SELECT CAST(count(*) AS BIGINT) AS rows_after FROM s{i})" for i in range(1, len(Q.IQR_COLS) + 1)]
     return _with(*ctes) + _union([
         f"SELECT '{c}' AS column_name, q1, q3, {sig('lo')} AS lower, {sig('hi')} AS upper, rows_after "
         f"FROM b{i}, n{i}"
@@ -240,6 +263,10 @@ def iqr_filter() -> str:
     ])
 
 
+def iqr_filter_apply() -> str:
+    return _with(*_iqr_chain()) + f"SELECT {', '.join([*KEYS, *Q.IQR_COLS])} FROM s{len(Q.IQR_COLS)}"
+
+
 # ---------------------------------------------------------------- encoding
 
 def _freq_labels(cols: list[str], base: str, as_text: bool = False) -> list[str]:
@@ -309,6 +336,11 @@ def categorize_roundtrip() -> str:
     )
 
 
+def categorize_nulls() -> str:
+    return _with() + ("SELECT l_orderkey, l_linenumber, l_returnflag, l_returnflag AS l_returnflag_decoded "
+                      "FROM shipments")
+
+
 # ---------------------------------------------------------------- features / split
 
 def hash_split() -> str:
@@ -438,6 +470,92 @@ def tree_stump() -> str:
     )
 
 
+def _ridge_ctes(source: str, tag: str, reg: float, by: str = "") -> list[str]:
+    """co{tag}(b0, b1, b2): ridge on variables scaled by their population deviation."""
+    pre = f"{by}, " if by else ""
+    group = f" GROUP BY {by}" if by else ""
+    return [
+        f"mo{tag} AS (SELECT {pre}avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, stddev_pop(y) AS dy, stddev_pop(x1) AS d1, "
+        "stddev_pop(x2) AS d2, covar_pop(x1, x2) / (stddev_pop(x1) * stddev_pop(x2)) AS r12, "
+        "covar_pop(x1, y) / (stddev_pop(x1) * stddev_pop(y)) AS r1, "
+        f"covar_pop(x2, y) / (stddev_pop(x2) * stddev_pop(y)) AS r2 FROM {source}{group})",
+        f"di{tag} AS (SELECT *, 1 + {reg} / dy AS g FROM mo{tag})",
+        f"bb{tag} AS (SELECT {pre}my, m1, m2, (g * r1 - r12 * r2) / (g * g - r12 * r12) * dy / d1 AS b1, "
+        f"(g * r2 - r12 * r1) / (g * g - r12 * r12) * dy / d2 AS b2 FROM di{tag})",
+        f"co{tag} AS (SELECT {pre}my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM bb{tag})",
+    ]
+
+
+def linreg_ridge() -> str:
+    x1, x2 = Q.OLS_FEATURES
+    ctes = [_ols2_ctes(_is_train())[0], *_ridge_ctes("tr", "", Q.RIDGE)]
+    return _with(*ctes) + _union([
+        f"SELECT '{t}' AS term, {sig(b)} AS value FROM co" for t, b in (("intercept", "b0"), (x1, "b1"), (x2, "b2"))
+    ])
+
+
+def cv_grid_ridge() -> str:
+    x1, x2 = Q.OLS_FEATURES
+    ctes = [f"fz AS (SELECT delay AS y, {x1} AS x1, {x2} AS x2, {_fold(Q.CV_FOLDS)} AS fold FROM shipments "
+            f"WHERE {_is_train()} AND delay IS NOT NULL AND {x1} IS NOT NULL AND {x2} IS NOT NULL)",
+            "ft AS (SELECT f.fold, fz.y, fz.x1, fz.x2 FROM (SELECT DISTINCT fold FROM fz) f JOIN fz ON fz.fold <> f.fold)"]
+    for i, reg in enumerate(Q.RIDGE_GRID):
+        ctes += _ridge_ctes("ft", f"{i}", reg, "fold")
+        ctes.append(f"er{i} AS (SELECT fold, sqrt(avg((y - b0 - b1 * x1 - b2 * x2) * (y - b0 - b1 * x1 - b2 * x2))) AS rmse "
+                    f"FROM fz JOIN co{i} USING (fold) GROUP BY fold)")
+    return _with(*ctes) + _union([
+        f"SELECT 'regParam={reg}' AS params, {sig('avg(rmse)')} AS avg_rmse FROM er{i}" for i, reg in enumerate(Q.RIDGE_GRID)
+    ])
+
+
+def _stump_ctes(tag: str, source: str, y: str) -> list[str]:
+    """best{tag}(feature, threshold, ml, mr): the split of least squared error of ``source``."""
+    ctes = [f"tt{tag} AS (SELECT count(*) AS n, sum({y}) AS s FROM {source})"]
+    cands = []
+    for i, f in enumerate(Q.STUMP_FEATURES):
+        ctes.append(f"g{tag}_{i} AS (SELECT CAST({f} AS DOUBLE) AS v, count(*) AS c, sum({y}) AS s FROM {source} GROUP BY {f})")
+        ctes.append(f"c{tag}_{i} AS (SELECT v, sum(c) OVER (ORDER BY v) AS nl, sum(s) OVER (ORDER BY v) AS sl, "
+                    f"lead(v) OVER (ORDER BY v) AS nv FROM g{tag}_{i})")
+        cands.append(f"SELECT '{f}' AS feature, (v + nv) / 2 AS threshold, sl / nl AS ml, (t.s - sl) / (t.n - nl) AS mr, "
+                     f"sl * sl / nl + (t.s - sl) * (t.s - sl) / (t.n - nl) AS score FROM c{tag}_{i}, tt{tag} t WHERE nv IS NOT NULL")
+    ctes.append(f"best{tag} AS (SELECT * FROM ({' UNION ALL '.join(cands)}) ORDER BY score DESC LIMIT 1)")
+    return ctes
+
+
+def _left(tag: str) -> str:
+    """Whether a row of the tables in scope goes left at best{tag}."""
+    return f"(CASE best{tag}.feature " + " ".join(f"WHEN '{f}' THEN {f}" for f in Q.STUMP_FEATURES) + f" END <= best{tag}.threshold)"
+
+
+def _tree_rows() -> list[str]:
+    feats = Q.STUMP_FEATURES
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in ["delay", *feats])
+    cols = f"l_orderkey, l_linenumber, delay AS y, {', '.join(feats)}"
+    return [f"tr AS (SELECT {cols} FROM shipments WHERE {_is_train()} AND {nn})",
+            f"te AS (SELECT {cols} FROM shipments WHERE NOT {_is_train()} AND {nn})"]
+
+
+def rf_exact() -> str:
+    ctes = [*_tree_rows(), *_stump_ctes("0", "tr", "y")]
+    for tag, side in (("1", ""), ("2", "NOT ")):
+        ctes.append(f"tr{tag} AS (SELECT tr.* FROM tr, best0 WHERE {side}{_left('0')})")
+        ctes += _stump_ctes(tag, f"tr{tag}", "y")
+    leaf = (f"CASE WHEN {_left('0')} THEN CASE WHEN {_left('1')} THEN best1.ml ELSE best1.mr END "
+            f"ELSE CASE WHEN {_left('2')} THEN best2.ml ELSE best2.mr END END")
+    return _with(*ctes) + (f"SELECT l_orderkey, l_linenumber, y AS label, {rdp(leaf, 6)} AS prediction "
+                           "FROM te, best0, best1, best2")
+
+
+def gbt_exact() -> str:
+    one = f"CASE WHEN {_left('1')} THEN best1.ml ELSE best1.mr END"
+    two = f"CASE WHEN {_left('2')} THEN best2.ml ELSE best2.mr END"
+    ctes = [*_tree_rows(), *_stump_ctes("1", "tr", "y"),
+            f"rs AS (SELECT tr.*, 2 * (y - {one}) AS r FROM tr, best1)",  # the squared loss's negative gradient
+            *_stump_ctes("2", "rs", "r")]
+    return _with(*ctes) + (f"SELECT l_orderkey, l_linenumber, y AS label, {rdp(f'{one} + 0.1::DOUBLE * ({two})', 6)} AS prediction "
+                           "FROM te, best1, best2")
+
+
 def stream_score_events() -> str:
     split = ("((CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10) < 8)")
     ctes = [
@@ -474,14 +592,18 @@ def registry() -> dict[str, str]:
         "null_policy_60_5_apply": null_policy_60_5_apply(),
         "null_policy_40_10": null_policy_40_10(),
         "null_policy_thresh": null_policy_thresh(),
+        "null_policy_thresh_apply": null_policy_thresh_apply(),
+        "column_kinds": column_kinds(),
         "mean_impute": mean_impute(),
         "iqr_filter": iqr_filter(),
+        "iqr_filter_apply": iqr_filter_apply(),
         "string_index": string_index(),
         "string_index_labels": string_index_labels(),
         "string_index_numeric": string_index_numeric(),
         "label_encode": label_encode(),
         "dictionary_encode": dictionary_encode(),
         "categorize_roundtrip": categorize_roundtrip(),
+        "categorize_nulls": categorize_nulls(),
         "hash_split": hash_split(),
         "fold_assign": fold_assign(),
         "standard_scale": standard_scale(),
@@ -490,6 +612,10 @@ def registry() -> dict[str, str]:
         "linreg_predict": linreg_predict(),
         "regression_metrics": regression_metrics(),
         "kfold_ols": kfold_ols(),
+        "linreg_ridge": linreg_ridge(),
+        "cv_grid_ridge": cv_grid_ridge(),
+        "rf_exact": rf_exact(),
+        "gbt_exact": gbt_exact(),
         "tree_stump": tree_stump(),
         "stream_score": linreg_predict(),
         "stream_resume": linreg_predict(),

@@ -107,7 +107,10 @@ def q_dropna_any(spark, sf_dir):
 
 
 def q_column_kinds(spark, sf_dir):
-    return P.column_kinds_frame(_ship(spark, sf_dir))
+    """Kind and type of every column, with the number of its values."""
+    df = _ship(spark, sf_dir)
+    present = P.null_profile(df).select("column_name", (F.col("n_rows") - F.col("n_null")).alias("n_present"))
+    return P.column_kinds_frame(df).join(present, "column_name")
 
 
 # ---------------------------------------------------------------- profiling
@@ -174,6 +177,13 @@ def q_null_policy_thresh(spark, sf_dir):
     return _policy_report(spark, C.fit_null_policy_threshold(_ship(spark, sf_dir), 0.6))
 
 
+def q_null_policy_thresh_apply(spark, sf_dir):
+    """The threshold policy's rows: keys untouched, the sparse column gone, means filled in."""
+    df = _ship(spark, sf_dir)
+    out = C.fit_null_policy_threshold(df, 0.6, exclude=KEYS).transform(df)
+    return out.select(*[round_dp(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes])
+
+
 def q_mean_impute(spark, sf_dir):
     out = C.mean_impute(_ship(spark, sf_dir), ["l_tax", "l_quantity"])
     return out.select("l_orderkey", "l_linenumber", round_dp("l_tax", 9).alias("l_tax"),
@@ -189,6 +199,11 @@ def q_iqr_filter(spark, sf_dir):
              round_sig("upper", 9).alias("upper"), "rows_after")
 
 
+def q_iqr_filter_apply(spark, sf_dir):
+    out, _ = C.iqr_filter(_ship(spark, sf_dir), IQR_COLS, factor=IQR_FACTOR, exact=True)
+    return out.select(*KEYS, *IQR_COLS)
+
+
 # ---------------------------------------------------------------- encoding
 
 def q_string_index(spark, sf_dir):
@@ -225,6 +240,14 @@ def q_categorize_roundtrip(spark, sf_dir):
                        "o_orderpriority_decoded")
 
 
+def q_categorize_nulls(spark, sf_dir):
+    """Codes and back for a column with NULLs: they come back as NULL."""
+    df = _ship(spark, sf_dir)
+    model = E.fit_index(df, ["l_returnflag"], E.ALPHABET_ASC, "keep")
+    back = E.decode(model.transform(df, suffix="_code"), model, ["l_returnflag"])
+    return back.select(*KEYS, "l_returnflag", "l_returnflag_decoded")
+
+
 # ---------------------------------------------------------------- features / split
 
 def q_hash_split(spark, sf_dir):
@@ -310,6 +333,42 @@ def q_linreg_elastic(spark, sf_dir):
     return M.coefficients_frame(spark, model, OLS_FEATURES)
 
 
+RIDGE = 0.1
+
+
+def q_linreg_ridge(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir, OLS_FEATURES)
+    model = M.linear_regression("features", TARGET, reg_param=RIDGE, elastic_net=0.0).fit(train)
+    return M.coefficients_frame(spark, model, OLS_FEATURES).select("term", round_sig("value", 9).alias("value"))
+
+
+RIDGE_GRID = [0.1, 5.0]
+
+
+def q_cv_grid_ridge(spark, sf_dir):
+    """Grid search over ridge strengths with hash folds: mean RMSE of each point."""
+    train, _ = _train_test(spark, sf_dir, OLS_FEATURES)
+    train = FE.assign_folds(train, KEYS, CV_FOLDS)
+    lr = M.linear_regression("features", TARGET)
+    _, table = cross_validate(lr, param_grid(lr, {"regParam": RIDGE_GRID}), train, TARGET,
+                              fold_col=FE.FOLD_COL, num_folds=CV_FOLDS)
+    return table.select("params", round_sig("avg_rmse", 9).alias("avg_rmse"))
+
+
+def q_rf_exact(spark, sf_dir):
+    """A forest without bootstrap over all features: equal trees of depth 2, checked in SQL."""
+    train, test = _train_test(spark, sf_dir, STUMP_FEATURES)
+    model = M.random_forest("features", TARGET, num_trees=3, max_depth=2, feature_subset="all", bootstrap=False)
+    return _predictions(model.fit(train), test).withColumn("prediction", round_dp("prediction", 6))
+
+
+def q_gbt_exact(spark, sf_dir):
+    """Two boosting rounds of depth 1, checked in SQL."""
+    train, test = _train_test(spark, sf_dir, STUMP_FEATURES)
+    model = M.gbt("features", TARGET, max_depth=1, max_iter=2).fit(train)
+    return _predictions(model, test).withColumn("prediction", round_dp("prediction", 6))
+
+
 TREE_FEATURES = ["l_extendedprice", "o_totalprice", "order_year", "order_month"]
 
 
@@ -469,14 +528,17 @@ def registry() -> dict:
         "null_policy_60_5_apply": q_null_policy_60_5_apply,
         "null_policy_40_10": q_null_policy_40_10,
         "null_policy_thresh": q_null_policy_thresh,
+        "null_policy_thresh_apply": q_null_policy_thresh_apply,
         "mean_impute": q_mean_impute,
         "iqr_filter": q_iqr_filter,
+        "iqr_filter_apply": q_iqr_filter_apply,
         "string_index": q_string_index,
         "string_index_labels": q_string_index_labels,
         "string_index_numeric": q_string_index_numeric,
         "label_encode": q_label_encode,
         "dictionary_encode": q_dictionary_encode,
         "categorize_roundtrip": q_categorize_roundtrip,
+        "categorize_nulls": q_categorize_nulls,
         "hash_split": q_hash_split,
         "fold_assign": q_fold_assign,
         "standard_scale": q_standard_scale,
@@ -487,6 +549,10 @@ def registry() -> dict:
         "kfold_ols": q_kfold_ols,
         "tree_stump": q_tree_stump,
         "linreg_elastic": q_linreg_elastic,
+        "linreg_ridge": q_linreg_ridge,
+        "rf_exact": q_rf_exact,
+        "gbt_exact": q_gbt_exact,
+        "cv_grid_ridge": q_cv_grid_ridge,
         "rf_predict": q_rf_predict,
         "gbt_predict": q_gbt_predict,
         "cv_grid": q_cv_grid,

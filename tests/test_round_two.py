@@ -105,3 +105,28 @@ def test_materialize_runs_the_plan_once(spark):
     plain = jobs("plain", lambda: joined.hint("rebalance").write.parquet(scratch_path(spark, "plain")))
     own = jobs("own", lambda: materialize(joined, "own"))
     assert own <= plain + 1  # the read of the schema
+
+
+def test_correlation_skips_nulls_by_pair_and_never_multiplies_rows(spark):
+    import pandas as pd
+
+    from tarmac.operators.profile import correlation_matrix
+
+    rows = [(float(i), None if i % 3 == 0 else float(i * i % 17), 0.1, None if i % 5 == 0 else -2.0 * i) for i in range(60)]
+    names = ["a", "b", "same", "c"]
+    out = correlation_matrix(spark.createDataFrame(rows, "a double, b double, same double, c double"))
+    want = pd.DataFrame(rows, columns=names).astype(float).corr()
+    for r in out.collect():
+        if "same" in (r["col_a"], r["col_b"]):
+            assert r["corr"] is None
+        else:
+            assert r["corr"] == pytest.approx(want.loc[r["col_a"], r["col_b"]], abs=1e-12)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and plan.count("Generate") == 1  # over the one row of sums only
+
+
+def test_correlation_of_no_rows(spark):
+    from tarmac.operators.profile import correlation_matrix
+
+    out = correlation_matrix(spark.createDataFrame([], "a double, b double")).collect()
+    assert len(out) == 4 and all(r["corr"] is None for r in out)

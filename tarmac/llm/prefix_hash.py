@@ -17,7 +17,7 @@ def remainder(x: np.ndarray) -> np.ndarray:
     """x modulo 2^31 - 1, for x below 2^64."""
     x = (x & _P) + (x >> _31)
     x = (x & _P) + (x >> _31)
-    return np.where(x >= _P, x - _P, x)
+    return np.minimum(x, x - _P)  # below the prime the difference wraps round to a large value
 
 
 def powers(which: int, n: int, inverse: bool = False) -> np.ndarray:
@@ -42,9 +42,11 @@ class PrefixHashes:
     def __init__(self, values: np.ndarray, moduli: int = 2):
         x = values.astype(np.uint64) + np.uint64(1)
         self.n, self.prefix = len(x), []
+        small = values.dtype == np.uint8 and len(x) < 1 << 24  # sums of products stay below 2^64
         for w in range(moduli):
             out = np.zeros(len(x) + 1, np.uint64)
-            np.cumsum(remainder(x * powers(w, len(x))), out=out[1:])
+            terms = x * powers(w, len(x))
+            np.cumsum(terms if small else remainder(terms), out=out[1:])
             self.prefix.append(remainder(out))
 
     def part(self, which: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -60,6 +62,29 @@ class PrefixHashes:
         return int(self.spans(np.zeros(1, np.int64), np.full(1, self.n))[0])
 
 
+_WRAPPING = 0x9E3779B97F4A7C15
+_WRAPPED: dict[bool, np.ndarray] = {}
+
+
+def wrapping_powers(n: int, inverse: bool = False) -> np.ndarray:
+    """Powers of an odd base (or of its inverse) modulo 2^64, grown by doubling and kept."""
+    base = pow(_WRAPPING, -1, 1 << 64) if inverse else _WRAPPING
+    have = _WRAPPED.get(inverse, np.ones(1, np.uint64))
+    while len(have) < n:
+        have = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])
+        _WRAPPED[inverse] = have
+    return have[:n]
+
+
+def span_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all spans of ``size`` values from one prefix array modulo 2^64, where overflow
+    does the division. Built texts can collide: for choices that later steps check."""
+    n = len(values)
+    prefix = np.zeros(n + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * wrapping_powers(n), out=prefix[1:])
+    return (prefix[size:] - prefix[:n + 1 - size]) * wrapping_powers(n + 1 - size, inverse=True)
+
+
 def common_extension(a: PrefixHashes, at: np.ndarray, b: PrefixHashes, bt: np.ndarray, limit: int | None = None) -> np.ndarray:
     """Length of the longest common extension of a[at:] and b[bt:] for many pairs at once,
     by binary search over span equality."""

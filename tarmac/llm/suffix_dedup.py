@@ -6,7 +6,7 @@ same document further left). Not every suffix of the corpus is sorted: of each w
 anchors at equal places, so only suffixes at anchors that occur twice are candidates (the
 anchors are about 1 in 26 bytes).
 
-1. Prefix polynomial hashes of the bytes give every gram's hash; a sliding minimum gives the
+1. Prefix polynomial hashes (modulo 2^64) give every gram's hash; a sliding minimum gives the
    anchors and, for each, the run of windows it stands for. Anchor hashes are counted over
    all documents; those met more than once are noted in a Bloom filter of fixed size.
 2. Candidate anchors are grouped by their gram and the hash of all bytes of their windows:
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,31 +37,34 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.bloom import in_bloom, make_bloom
 from tarmac.llm.common import map_slices, mix, partitions, save, slices
-from tarmac.llm.prefix_hash import PrefixHashes, common_extension
+from tarmac.llm.prefix_hash import PrefixHashes, common_extension, span_hashes
 
 WIDTH = 100
 GRAM = 50
 #: Bytes hashed at a time; longer texts are taken in overlapping parts.
-PART = 1 << 20
+PART = 1 << 18
 #: Suffixes of one gram that are sorted together.
 BLOCK = 4000
 BLOOM_BITS = 25
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
-    """Place of the least value in each window (the first of equals), by doubling."""
+    """Place of the least value in each window (the first of equals). Values are cut to their
+    high bits, the low ones hold the place in a block of ``width``; a window is the end of
+    one block and the beginning of the next, so running minima within blocks give it."""
     n = len(values) - width + 1
-    at = np.arange(len(values))
-    size = 1
-    best, place = values, at
-    while size < width:
-        step = min(size, width - size)
-        a, b = best[:len(best) - step], best[step:]
-        right = b < a
-        place = np.where(right, place[step:], place[:len(a)])
-        best = np.where(right, b, a)
-        size += step
-    return place[:n]
+    low = np.uint64(max(width - 1, 1).bit_length())
+    blocks = -(-len(values) // width)
+    table = np.full(blocks * width, ~np.uint64(0))
+    table[:len(values)] = values >> low << low
+    table = table.reshape(blocks, width)
+    table |= np.arange(width, dtype=np.uint64)
+    ahead = np.minimum.accumulate(table, axis=1).ravel()[width - 1:width - 1 + n]
+    behind = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()[:n]
+    right = ahead >> low < behind >> low
+    start = np.arange(n) // width * width
+    place = np.where(right, ahead, behind) & ((np.uint64(1) << low) - np.uint64(1))
+    return start + place.astype(np.int64) + np.where(right, width, 0)
 
 
 class Anchors:
@@ -69,36 +73,34 @@ class Anchors:
     def __init__(self, data: bytes, bounds: np.ndarray, width: int):
         self.data = np.frombuffer(data, np.uint8)
         self.bounds, self.width = bounds, width
-        empty = np.zeros(0, np.int64)
-        self.at = self.first = self.count = self.doc = empty
+        self.at = self.first = self.count = self.doc = np.zeros(0, np.int64)
+        self.gram = np.zeros(0, np.uint64)
         if len(self.data) < width:
             return
-        h = self.hashes = PrefixHashes(self.data)
-        starts = np.arange(len(self.data) - GRAM + 1)
-        grams = mix(h.part(0, starts, starts + GRAM))
+        grams = mix(span_hashes(self.data, GRAM))
         owner = sliding_least(grams, width - GRAM + 1)
-        doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:len(owner)]
-        inside = np.arange(len(owner)) + width <= bounds[doc + 1]
-        windows = np.flatnonzero(inside)
-        if not len(windows):
-            return
-        own = owner[windows]
-        new = np.ones(len(own), bool)
-        new[1:] = (own[1:] != own[:-1]) | (windows[1:] != windows[:-1] + 1)
-        i = np.flatnonzero(new)
-        self.at, self.first = own[i], windows[i]
-        self.count = np.diff(np.append(i, len(own)))
-        self.doc = doc[self.first]
-
-    def grams(self) -> np.ndarray:
-        return mix(self.hashes.spans(self.at, self.at + GRAM)) if len(self.at) else np.zeros(0, np.uint64)
-
-    def surroundings(self) -> np.ndarray:
-        """Hash of all bytes of an anchor's windows and of their place around it."""
-        if not len(self.at):
+        # an anchor's run of windows ends where the owner changes or its document ends
+        cuts = [np.flatnonzero(owner[1:] != owner[:-1]) + 1, bounds[:-1], bounds[1:] - width + 1]
+        first = np.unique(np.concatenate(cuts))
+        first = first[(first >= 0) & (first < len(owner))]
+        count = np.diff(np.append(first, len(owner)))
+        doc = np.searchsorted(bounds, first, "right") - 1
+        inside = first + width <= bounds[doc + 1]
+        self.first, self.count, self.doc = first[inside], count[inside], doc[inside]
+        self.at = owner[self.first]
+        self.gram = grams[self.at]
+
+    @cached_property
+    def hashes(self) -> PrefixHashes:
+        return PrefixHashes(self.data)
+
+    def surroundings(self, keep: np.ndarray) -> np.ndarray:
+        """Hash of all bytes of the kept anchors' windows and of their place around them."""
+        if not len(keep):
             return np.zeros(0, np.uint64)
-        whole = self.hashes.spans(self.first, self.first + self.count - 1 + self.width)
-        return mix(whole * np.uint64(0x9E3779B97F4A7C15) + ((self.at - self.first) << 32 | self.count).astype(np.uint64))
+        at, first, count = self.at[keep], self.first[keep], self.count[keep]
+        whole = self.hashes.spans(first, first + count - 1 + self.width)
+        return mix(whole * np.uint64(0x9E3779B97F4A7C15) + ((at - first) << 32 | count).astype(np.uint64))
 
 
 def parts(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Anchors]]:
@@ -225,7 +227,7 @@ class Dedup:
         def run(batches):
             for batch in batches:
                 for *_, a in parts(batch, width):
-                    own, n = np.unique(a.grams(), return_counts=True)
+                    own, n = np.unique(a.gram, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n.astype(np.int32))], names=["gram", "c"])
 
         return self.docs.mapInArrow(run, "gram long, c int").groupBy("gram").agg(F.sum("c").alias("c")).where("c > 1")
@@ -238,11 +240,11 @@ class Dedup:
         def run(batches):
             for batch in batches:
                 for d, t, offset, _, a in parts(batch, width):
-                    gram = a.grams()
+                    gram = a.gram
                     keep = np.flatnonzero(in_bloom(bloom.value, gram))
                     doc = a.doc[keep]
                     x = a.at[keep] - a.bounds[doc] + offset[doc]
-                    got = (gram[keep].view(np.int64), a.surroundings()[keep].view(np.int64), d[doc], t[doc], x, a.at[keep] - a.first[keep], a.count[keep], record_ids(gram[keep], d[doc], t[doc], x).view(np.int64))
+                    got = (gram[keep].view(np.int64), a.surroundings(keep).view(np.int64), d[doc], t[doc], x, a.at[keep] - a.first[keep], a.count[keep], record_ids(gram[keep], d[doc], t[doc], x).view(np.int64))
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(got, [pa.int64()] * 4 + [pa.int64(), pa.int32(), pa.int32(), pa.int64()], strict=True)], names=["gram", "sig", "d", "t", "x", "l", "c", "rid"])
 
         return save(self.docs.mapInArrow(run, "gram long, sig long, d long, t long, x long, l int, c int, rid long"), "anchors")
@@ -257,7 +259,7 @@ class Dedup:
                 for d, t, offset, _, a in parts(batch, width):
                     doc = a.doc
                     x = a.at - a.bounds[doc] + offset[doc]
-                    rid = record_ids(a.grams(), d[doc], t[doc], x)
+                    rid = record_ids(a.gram, d[doc], t[doc], x)
                     keep = np.flatnonzero(in_bloom(bloom.value, rid))
                     data = a.data.tobytes()
                     got = [data[f:f + n - 1 + width] for f, n in zip(a.first[keep].tolist(), a.count[keep].tolist(), strict=True)]

@@ -56,13 +56,33 @@ def shingle_set(text: str, n: int = 5) -> np.ndarray:
     return np.unique(out)
 
 
+def shingle_sets(texts: list[str], n: int = 5) -> list[np.ndarray]:
+    """The set of each text; the shingles of all texts are hashed together."""
+    lists = [lower_words(t) for t in texts]
+    h = _HASHES.of([w for words in lists for w in words])
+    out = np.full(max(len(h) - n + 1, 0), n, np.uint64)
+    for i in range(n):
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + len(out)])
+    sets, at = [], 0
+    for t, words in zip(texts, lists, strict=True):
+        if len(words) < n:
+            sets.append(shingle_set(t, n))
+        else:
+            own = np.sort(out[at:at + len(words) - n + 1])
+            sets.append(own[np.append(True, own[1:] != own[:-1])])
+        at += len(words)
+    return sets
+
+
 def prefix_of(tokens: np.ndarray, blooms: list[Bloom], share: int) -> np.ndarray:
     """The prefix of a set in the common order: by the last filter that knows a shingle
     (none first), then by hash."""
     n = len(tokens)
     size = n - (share * n + 99) // 100 + 1
-    known = sum((in_bloom(b, tokens).astype(np.int8) for b in blooms), np.zeros(n, np.int8))
-    order = np.lexsort((mix(tokens), known))
+    order = np.argsort(mix(tokens))  # no ties: mix gives different values for different hashes
+    if blooms:
+        known = sum((in_bloom(b, tokens).astype(np.int8) for b in blooms), np.zeros(n, np.int8))
+        order = order[np.argsort(known[order], kind="stable")]
     return tokens[order[:size]]
 
 
@@ -86,14 +106,13 @@ class Join:
     def signatures(self) -> DataFrame:
         """One row per document: size, hash of the whole set, prefix and its hash."""
         n, share = self.n, self.share
-        
 
         def tokens(batches):
             from tarmac.llm.common import slices
 
             for batch in batches:
                 for part in slices(batch):
-                    sets = [shingle_set(t, n) for t in part.column("text").to_pylist()]
+                    sets = shingle_sets(part.column("text").to_pylist(), n)
                     got = np.concatenate([prefix_of(s, [], share) for s in sets if len(s)] or [np.zeros(0, np.uint64)])
                     own, count = np.unique(got, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(count)], names=["token", "c"])
@@ -105,7 +124,7 @@ class Join:
 
         def task():
             def each(part: pa.RecordBatch) -> dict:
-                sets = [shingle_set(t, n) for t in part.column("text").to_pylist()]
+                sets = shingle_sets(part.column("text").to_pylist(), n)
                 firsts = [prefix_of(s, [twice.value, hot.value], share) if len(s) else s for s in sets]
                 signed = lambda xs: pa.array([np.uint64(x).astype(np.int64) for x in xs], pa.int64())
                 digest = lambda s, k: np.bitwise_xor.reduce(mix(s * np.uint64(k))) if len(s) else 0
@@ -135,7 +154,7 @@ class Join:
                 for part in slices(batch):
                     ids = part.column("doc_id")
                     part = part.filter(pa.array(in_bloom(bloom.value, np.asarray(ids).astype(np.int64).view(np.uint64))))
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([shingle_set(t, n).tobytes() for t in part.column("text").to_pylist()], pa.binary())], names=["id", "set"])
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(part.column("text").to_pylist(), n)], pa.binary())], names=["id", "set"])
 
         kept = self.docs.where("doc_id is not null").mapInArrow(some, "id long, set binary")
         return save(kept.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("set").alias("set")), "sets")

@@ -1,15 +1,23 @@
 """Balanced shards by label propagation under capacity quotas.
 
 Documents with equal texts are linked. Every document starts in a shard given by a hash of
-its id. In each round every group of linked documents looks at where its members are, and
-those elsewhere want to move to the shard that holds most of them; shards take in only what
-their quota leaves room for. A group too large for a shard is first split into blocks. The
-links of a group are never listed: members of a group that started in the same shard are one
-cell with a count, and rounds work on cells. At the end counts are made exactly even: each
-shard keeps its quota, linked documents first, and the rest fills the shards with room.
-
+its id. Every group of linked documents votes: it wants to be in the shard that holds most of
+its members (ties by a hash). Linked documents of a group are all linked to each other, so one
+round of votes settles a group, and what is left to do is the quotas:
+
+* Large groups (more than a ``LARGE``-th of a shard; so at most about ``LARGE`` of them for a
+  shard) are placed first, on the driver and by size: where the least room is left that holds
+  all of the group. Only a group that no shard has room for is split, into the largest rooms.
+* Of the small groups, each shard takes those that voted for it, whole, until one does not fit.
+  The refused ones are put in a line that fills the rooms left, the largest first. Only a group
+  at the end of a room is split, so fewer small groups are split than there are shards.
+* Documents without links stay where they start while there is room, and the rest fill up the
+  shards, so that counts are exactly even.
+
+The links of a group are never listed: groups are counted and numbered as rows of their own.
 Ranks within a shard use buckets: counts per (shard, bucket) give offsets, and rows are
-numbered within a bucket, so no task holds a whole shard.
+numbered within a bucket, so no task holds a whole shard. The documents of a group are numbered
+only if the group is split.
 
 Law ``rows``: the shards' numbers of rows differ by one at most. A document's size is the
 UTF-8 bytes of its text (NULL: none) plus 16. NULL counts as the empty text. Rows are placed
@@ -25,9 +33,8 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.common import id_and_text, partitions, save
 
-ROUNDS = 8
-#: Part of a shard that one block of a group may fill.
-BLOCK_SHARE = 4
+#: Groups above this part of a shard are placed one by one.
+LARGE = 8
 
 
 def _pick(shard: Column, values: list[int]) -> Column:
@@ -35,53 +42,90 @@ def _pick(shard: Column, values: list[int]) -> Column:
     return F.element_at(F.array(*[F.lit(int(v)) for v in values]), shard + 1)
 
 
-def _numbered(rows: DataFrame, shard: str, bucket: str, order: list, out: str) -> DataFrame:
-    """Gapless numbers from 0 within each shard, in the order of buckets."""
-    counts = rows.groupBy(shard, bucket).agg(F.count("*").alias("__n"))
+def _hole(at: Column, ends: list[int]) -> Column:
+    """The number of the room, of rooms that end at ``ends``, that holds this place of a line."""
+    hole = F.lit(0)
+    for e in ends:
+        hole = hole + F.when(at >= e, 1).otherwise(0)
+    return hole
+
+
+def _numbered(rows: DataFrame, shard: str, bucket: str, order: list, out: str, weight: str | None = None) -> DataFrame:
+    """Gapless numbers from 0 within each shard, in the order of buckets; a row takes ``weight`` of them."""
+    n = F.col(weight) if weight else F.lit(1)
+    counts = rows.groupBy(shard, bucket).agg(F.sum(n).alias("__n"))
     before = Window.partitionBy(shard).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(shard, bucket, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    within = Window.partitionBy(shard, bucket).orderBy(*order)
+    within = Window.partitionBy(shard, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.withColumn("__k", F.row_number().over(within))
+        rows.withColumn("__k", F.sum(n).over(within) - n)
         .join(offsets, [shard, bucket])
-        .withColumn(out, (F.col("__off") + F.col("__k") - 1).cast("long"))
+        .withColumn(out, (F.col("__off") + F.col("__k")).cast("long"))
         .drop("__k", "__off")
     )
 
 
-def propagate(cells: DataFrame, shards: int, capacity: int, rounds: int = ROUNDS) -> DataFrame:
-    """Cells (g1, g2, block, init, n) with their shard ``cur`` after the rounds."""
-    cells = save(cells.withColumn("cur", F.col("init")), "cells")
-    block = ["g1", "g2", "block"]
-    for step in range(rounds):
-        load = [0] * shards
-        for r in cells.groupBy("cur").agg(F.sum("n").alias("n")).collect():  # a row a shard
-            load[r["cur"]] = r["n"]
-        room = [max(0, capacity - x) for x in load]
-        votes = cells.groupBy(*block, "cur").agg(F.sum("n").alias("v"))
-        open_ = votes.where(_pick(F.col("cur"), room) > 0)
-        best = open_.groupBy(*block).agg(F.max(F.struct("v", (-F.col("cur")).alias("k"))).alias("b"))
-        wish = votes.join(best, block).where((F.col("cur") != -F.col("b.k")) & (F.struct("v", (-F.col("cur")).alias("k")) < F.col("b")))
-        wish = save(wish.select(*block, "cur", (-F.col("b.k")).alias("to"), "v"), "wishes")
-        coming = [0] * shards
-        for r in wish.groupBy("to").agg(F.sum("v").alias("v")).collect():
-            coming[r["to"]] = r["v"]
-        if not any(coming):
-            break
-        # A shard with too little room takes a like share of every wish, by a hash.
-        share = [1000 if c <= r else 1000 * r // c for c, r in zip(coming, room, strict=True)]
-        taken = wish.where(F.pmod(F.xxhash64(F.lit(step), *block, "cur"), F.lit(1000)) < _pick(F.col("to"), share))
-        cells = save(
-            cells.join(taken.select(*block, "cur", "to"), [*block, "cur"], "left").withColumn("cur", F.coalesce("to", "cur")).select(*block, "init", "n", "cur"),
-            "cells",
-        )
-    return cells
+def pack(sizes: list[int], room: list[int]) -> list[list[tuple[int, int]]]:
+    """For each group, largest first, its pieces (shard, members); ``room`` is used up."""
+    out = []
+    for left in sizes:
+        pieces = []
+        while left:
+            fits = [s for s, r in enumerate(room) if r >= left]
+            s = min(fits, key=lambda s: room[s]) if fits else max(range(len(room)), key=lambda s: room[s])
+            pieces.append((s, min(left, room[s])))
+            room[s] -= pieces[-1][1]
+            left -= pieces[-1][1]
+        out.append(pieces)
+    return out
+
+
+def place_groups(groups: DataFrame, room: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Groups (g1, g2, members, home) as (g1, g2, at, cut): the shard, or for a split group its
+    number; and (cut, upto, to): of a split group, the members before ``upto`` are in ``to``.
+    ``room`` is used up."""
+    spark = groups.sparkSession
+    buckets = partitions(spark)
+    shards, even = len(room), min(room)
+    large = groups.where(F.col("members") * LARGE > even).select("g1", "g2", "members").collect()  # so many that they fill shards
+    large.sort(key=lambda r: (-r["members"], r["g1"], r["g2"]))
+    pieces = dict(zip([(r["g1"], r["g2"]) for r in large], pack([r["members"] for r in large], room), strict=True))
+
+    small = groups.where(F.col("members") * LARGE <= even).withColumn("bucket", F.pmod(F.xxhash64("g1", "g2"), F.lit(buckets)).cast("int"))
+    small = _numbered(small, "home", "bucket", ["g1", "g2"], "start", "members")
+    small = save(small.withColumn("stays", F.col("start") + F.col("members") <= _pick(F.col("home"), room)).drop("start"), "groups")
+    refused = 0
+    for r in small.groupBy("home", "stays").agg(F.sum("members").alias("n")).collect():  # two rows a shard
+        if r["stays"]:
+            room[r["home"]] -= r["n"]
+        else:
+            refused += r["n"]
+    order = sorted(range(shards), key=lambda s: (-room[s], s))
+    ends = list(accumulate(room[s] for s in order))
+    line = _numbered(small.where("not stays").withColumn("line", F.lit(0)), "line", "bucket", ["g1", "g2"], "start", "members")
+    line = line.withColumn("hole", _hole(F.col("start"), ends)).withColumn("last", _hole(F.col("start") + F.col("members") - 1, ends))
+    line = save(line.select("g1", "g2", "members", "start", "hole", "last"), "line")
+    for r in line.where("hole < last").collect():  # fewer than shards
+        edges = [r["start"], *[e for e in ends[r["hole"]:r["last"]]], r["start"] + r["members"]]
+        pieces[r["g1"], r["g2"]] = [(order[r["hole"] + k], b - a) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+    for s, end in zip(order, ends, strict=True):
+        room[s] = min(room[s], max(0, end - refused))
+
+    known, split = [], []
+    for (g1, g2), parts in pieces.items():
+        known.append((g1, g2, parts[0][0], None) if len(parts) == 1 else (g1, g2, None, len(split)))
+        if len(parts) > 1:
+            split.append((len(split), list(accumulate(n for _, n in parts)), [s for s, _ in parts]))
+    none = F.lit(None).cast("int").alias("cut")
+    placed = small.where("stays").select("g1", "g2", F.col("home").alias("at"), none)
+    placed = placed.union(line.where("hole = last").select("g1", "g2", _pick(F.col("hole"), order).alias("at"), none))
+    placed = placed.union(spark.createDataFrame(known, "g1 long, g2 long, at int, cut int"))
+    return placed, spark.createDataFrame(split, "cut int, upto array<long>, to array<int>")
 
 
 def shard_rows(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every row; law ``rows``."""
-    spark = docs.sparkSession
-    buckets = partitions(spark)
+    buckets = partitions(docs.sparkSession)
     texts = id_and_text(docs, id_col, text_col)
     base = save(
         texts.select(
@@ -94,43 +138,31 @@ def shard_rows(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_c
         "rows",
     )
     total = base.count()
-    even, extra = divmod(total, shards)
-    groups = base.groupBy("g1", "g2").agg(F.count("*").alias("members")).where("members > 1")
-    most = max(1, even // BLOCK_SHARE)
-    groups = save(groups.withColumn("blocks", F.ceil(F.col("members") / most).cast("int")), "groups")
-    linked = base.join(groups, ["g1", "g2"], "left").withColumn(
-        "block", F.when(F.col("blocks").isNotNull(), F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("blocks").cast("long")).cast("int"))
-    )
-    cells = linked.where("block is not null").groupBy("g1", "g2", "block", "init").agg(F.count("*").alias("n"))
-    placed = propagate(cells, shards, max(even, 1))
-    rows = linked.join(placed.select("g1", "g2", "block", "init", "cur"), ["g1", "g2", "block", "init"], "left").withColumn("at", F.coalesce("cur", "init"))
-    # Linked rows first, blocks together; single rows are the ones that give way.
-    rows = save(
-        rows.select(
-            "doc_id", "size", "text_crc32", "g1", "g2", "at",
-            F.when(F.col("block").isNotNull(), F.pmod(F.xxhash64("g1", "g2", "block"), F.lit(buckets)))
-            .otherwise(buckets + F.pmod(F.xxhash64("doc_id"), F.lit(buckets))).cast("int").alias("bucket"),
-            F.coalesce("block", F.lit(0)).alias("block"),
-        ),
-        "placed",
-    )
+    room = [total // shards + (s < total % shards) for s in range(shards)]
+    votes = base.groupBy("g1", "g2", "init").agg(F.count("*").alias("n"))
+    best = F.max(F.struct("n", F.xxhash64("g1", "g2", "init").alias("h"), "init"))["init"]
+    groups = save(votes.groupBy("g1", "g2").agg(F.sum("n").alias("members"), best.alias("home")).where("members > 1"), "votes")
+    placed, pieces = place_groups(groups, room)
+    by_id = F.pmod(F.xxhash64("doc_id", "g2"), F.lit(buckets)).cast("int")
+    rows = base.join(placed, ["g1", "g2"], "left").select("doc_id", "size", "text_crc32", "init", "at", "cut", by_id.alias("bucket"))
+    rows = save(rows, "placed")
+    out = ["doc_id", "size", "text_crc32", "shard"]
+    whole = rows.where("at is not null").withColumn("shard", F.col("at")).select(*out)
+    parts = _numbered(rows.where("cut is not null"), "cut", "bucket", ["doc_id", "text_crc32"], "rank").join(F.broadcast(pieces), "cut")
+    parts = parts.withColumn("shard", F.expr("element_at(to, size(filter(upto, x -> x <= rank)) + 1)")).select(*out)
+
+    # Rows without links fill the rooms that are left.
+    single = rows.where("at is null and cut is null")
     load = [0] * shards
-    for r in rows.groupBy("at").agg(F.count("*").alias("n")).collect():  # a row a shard
-        load[r["at"]] = r["n"]
-    quota = [even] * shards
-    for s in sorted(range(shards), key=lambda s: (-load[s], s))[:extra]:
-        quota[s] += 1
-    over = [max(0, n - q) for n, q in zip(load, quota, strict=True)]
-    holes = [max(0, q - n) for n, q in zip(load, quota, strict=True)]
+    for r in single.groupBy("init").agg(F.count("*").alias("n")).collect():  # a row a shard
+        load[r["init"]] = r["n"]
+    over = [max(0, n - q) for n, q in zip(load, room, strict=True)]
+    ends = list(accumulate(max(0, q - n) for n, q in zip(load, room, strict=True)))
     over_before = [0, *accumulate(over)][:-1]
-    ends = list(accumulate(holes))
-    ranked = _numbered(rows, "at", "bucket", ["g1", "g2", "block", "doc_id", "text_crc32"], "rank")
-    beyond = F.col("rank") - _pick(F.col("at"), quota)
-    spill = beyond + _pick(F.col("at"), over_before)
-    hole = F.lit(0)
-    for s in range(shards):  # the shard whose holes hold this place
-        hole = hole + F.when(spill >= ends[s], 1).otherwise(0)
-    ranked = ranked.withColumn("shard", F.when(beyond < 0, F.col("at")).otherwise(hole).cast("int"))
+    single = _numbered(single, "init", "bucket", ["doc_id", "text_crc32"], "rank")
+    beyond = F.col("rank") - _pick(F.col("init"), room)
+    single = single.withColumn("shard", F.when(beyond < 0, F.col("init")).otherwise(_hole(beyond + _pick(F.col("init"), over_before), ends)).cast("int"))
+    ranked = whole.union(parts).union(single.select(*out))
     ranked = save(ranked.select("doc_id", "size", "text_crc32", "shard", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("part")), "shards")
     final = _numbered(ranked, "shard", "part", ["doc_id", "text_crc32"], "slot")
     return final.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

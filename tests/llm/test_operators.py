@@ -223,6 +223,25 @@ def test_shards_keep_groups_together(ready):
     assert len(where["hot"]) <= 8  # 400 rows: two shards at least
 
 
+def shards_of(ready, texts: list[str], shards: int) -> dict:
+    """text -> its shards; the counts of all shards are checked."""
+    got = shard_rows(ready.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(len(texts)))
+    assert {Counter(r["shard"] for r in got)[s] - len(texts) // shards for s in range(shards)} <= {0, 1}
+    where = defaultdict(set)
+    for r in got:
+        where[texts[r["doc_id"]]].add(r["shard"])
+    return where
+
+
+def test_shards_split_only_groups_that_no_shard_holds(ready):
+    texts = ["hot"] * 400 + [f"large {i % 6}" for i in range(6 * 170)] + [f"own {i}" for i in range(580)]
+    where = shards_of(ready, texts, 10)
+    assert len(where["hot"]) == 2 and all(len(where[f"large {k}"]) == 1 for k in range(6))
+    where = shards_of(ready, [f"pair {i % 40}" for i in range(80)], 40)
+    assert all(len(x) == 1 for x in where.values())
+
+
 # --- decontamination
 
 def test_contamination(awkward, clean, texts, ready):

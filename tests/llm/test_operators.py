@@ -242,6 +242,14 @@ def test_shards_split_only_groups_that_no_shard_holds(ready):
     assert all(len(x) == 1 for x in where.values())
 
 
+def test_shards_keep_copies_together_in_full_tables(ready):
+    where = shards_of(ready, [f"pair {i % 500}" for i in range(1000)], 10)
+    assert all(len(x) == 1 for x in where.values())
+    texts = [f"group {k}" for k in range(700) for _ in range(2 + k % 6)]
+    where = shards_of(ready, texts, 10)
+    assert sum(len(x) > 1 for x in where.values()) < 10
+
+
 # --- decontamination
 
 def test_contamination(awkward, clean, texts, ready):

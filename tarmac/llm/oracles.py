@@ -70,5 +70,34 @@ FROM fold f LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT s AS doc_id, min(t) AS
 """
 
 
+#: crc32 is not a function there: the fold of a string's bytes, bit by bit.
+CONVERSATION_TRIE = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(struct_pack(r := r, x := x) ORDER BY turn NULLS FIRST, m) AS s,
+    xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda a, b: list_reduce(range(8), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)), xor(a, b)), 4294967295), 4294967295) % 9 AS h
+  FROM t GROUP BY conv_id),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.s[1:o.h], []), o.s[o.h + 1:]) AS s
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+member AS (SELECT conv_id, d, s[1:d] AS p, len(s) = d AS ends, CASE WHEN d > 0 THEN strlen(s[d].x) ELSE 0 END AS bytes FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM rebuilt)),
+node AS (
+  SELECT d, p, min(conv_id) AS c, count(*) AS n, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS h
+  FROM member GROUP BY d, p),
+kids AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS k FROM node WHERE d > 0 GROUP BY ALL),
+sub AS (
+  SELECT a.d, a.p, sum((b.n - 1) * b.bytes) AS saved, count(*) FILTER (k.k IS NULL) AS leaves
+  FROM (SELECT d, p, n, bytes, unnest(range(d + 1)) AS up FROM node) b
+  JOIN node a ON a.d = b.up AND a.p = b.p[1:b.up] LEFT JOIN kids k ON k.d = b.d AND k.p = b.p GROUP BY a.d, a.p)
+SELECT n.c AS conv_id, n.d AS depth, u.c AS parent_conv_id, n.n AS n_convs, coalesce(k.k, 0) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, n.h AS ends_sha256
+FROM node n JOIN sub s USING (d, p) LEFT JOIN kids k USING (d, p) LEFT JOIN node u ON u.d = n.d - 1 AND u.p = n.p[1:n.d - 1]
+"""
+
+
 def registry() -> dict[str, str]:
-    return {"op6_decontamination": DECONTAMINATION, "op8_line_dedup": LINE_DEDUP, "op10_ngram_join": NGRAM_JOIN}
+    return {"op6_decontamination": DECONTAMINATION, "op8_line_dedup": LINE_DEDUP, "op10_ngram_join": NGRAM_JOIN, "op11_conversation_trie": CONVERSATION_TRIE}

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm.bpe_chunks import encode_decode
-from tarmac.llm.common import prepare
+from tarmac.llm.common import prepare, save
+from tarmac.llm.conversation_trie import conversations, prefix_trie, with_shared_heads
 from tarmac.llm.decontaminate import contamination
 from tarmac.llm.fingerprints import fingerprints
 from tarmac.llm.line_dedup import line_dedup
@@ -77,9 +78,13 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(with_shared_heads(save(conversations(table(spark, sf_dir, "conversations")), "conversations")))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_token_counts, op2_fingerprints, op3_bpe, op4_toxicity, op5_sharding, op6_decontamination,
-        op7_suffix_dedup, op8_line_dedup, op9_quality, op10_ngram_join,
+        op7_suffix_dedup, op8_line_dedup, op9_quality, op10_ngram_join, op11_conversation_trie,
     )
     return {f.__name__: f for f in own}

@@ -99,5 +99,32 @@ FROM node n JOIN sub s USING (d, p) LEFT JOIN kids k USING (d, p) LEFT JOIN node
 """
 
 
+PHRASES = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p, count(*) AS a
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS size(k) WHERE len(w) >= k)
+  GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, p, a, string_split(p, ' ') AS w FROM f WHERE k > 1 AND a >= 30),
+cut AS (
+  SELECT c.lang, c.p, c.a, c.i, l.a AS l, r.a AS r, CAST((2000000::HUGEINT * c.a) // (l.a::HUGEINT + r.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM cand) c
+  JOIN f l ON l.lang = c.lang AND l.p = array_to_string(c.w[1:c.i], ' ')
+  JOIN f r ON r.lang = c.lang AND r.p = array_to_string(c.w[c.i + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, i) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS p, max(a) AS outer_a
+  FROM (SELECT *, unnest(range(1, k - n + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS n FROM cand)) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside o USING (lang, p) WHERE o.outer_a IS NULL OR 100::HUGEINT * o.outer_a < 80::HUGEINT * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept)
+SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 def registry() -> dict[str, str]:
-    return {"op6_decontamination": DECONTAMINATION, "op8_line_dedup": LINE_DEDUP, "op10_ngram_join": NGRAM_JOIN, "op11_conversation_trie": CONVERSATION_TRIE}
+    return {"op6_decontamination": DECONTAMINATION, "op8_line_dedup": LINE_DEDUP, "op10_ngram_join": NGRAM_JOIN, "op11_conversation_trie": CONVERSATION_TRIE, "op13_phrases": PHRASES}

@@ -13,7 +13,9 @@ from tarmac.llm.conversation_trie import conversations, prefix_trie, with_shared
 from tarmac.llm.decontaminate import contamination
 from tarmac.llm.fingerprints import fingerprints
 from tarmac.llm.line_dedup import line_dedup
+from tarmac.llm.lm_scoring import lm_scores
 from tarmac.llm.ngram_join import near_duplicates
+from tarmac.llm.phrases import phrases
 from tarmac.llm.quality import quality
 from tarmac.llm.sharding import shard_rows
 from tarmac.llm.suffix_dedup import suffix_dedup
@@ -82,9 +84,18 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(with_shared_heads(save(conversations(table(spark, sf_dir, "conversations")), "conversations")))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_token_counts, op2_fingerprints, op3_bpe, op4_toxicity, op5_sharding, op6_decontamination,
         op7_suffix_dedup, op8_line_dedup, op9_quality, op10_ngram_join, op11_conversation_trie,
+        op12_lm_scoring, op13_phrases,
     )
     return {f.__name__: f for f in own}

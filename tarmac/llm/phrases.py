@@ -46,7 +46,7 @@ SCORE = 2_000_000
 CLASSES = byte_classes(b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d")
 MAX_BLOOM_BITS = 27
 #: Suffixes that a task gathers before equal ones are put together, and rows of a shard as planned.
-GATHERED = 1 << 20
+GATHERED = 1 << 19
 SHARD_ROWS = 1 << 21
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 

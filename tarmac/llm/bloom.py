@@ -47,3 +47,9 @@ def make_bloom(values: DataFrame, column: str, bits: int = 23):
     if words.num_rows:
         bloom[np.asarray(words.column("w"))] = np.asarray(words.column("b")).astype(np.int64).view(np.uint64)
     return values.sparkSession.sparkContext.broadcast(bloom)
+
+
+def sized_bloom(values: DataFrame, column: str, most_bits: int = 28):
+    """``make_bloom`` with about 16 bits for each of the (saved) values, at most 2 ** ``most_bits``:
+    beyond that more values pass by error, which every caller allows for."""
+    return make_bloom(values, column, min(max(int(16 * values.count()).bit_length(), 16), most_bits))

@@ -9,7 +9,7 @@ white space to white space, taking in further chunks until both ends agree with
 beside them. White space ends a pre-token of the tokenizer, so the ids are exactly those of
 the whole text. New chunks are encoded by their distinct white-space pieces, each once.
 
-All caches are bounded, live in the Python worker and serve its later tasks too; rows never
+All caches are bounded in bytes (pieces in two generations, so frequent ones stay), live in the Python worker and serve its later tasks too; rows never
 move between tasks.
 
 Rules: NULL is the empty text and has no ids. Repeated rows give repeated results; a NULL
@@ -70,7 +70,7 @@ class ChunkEncoder:
     An encoded piece is (number of ids, ids as decimal text, decoded text).
     """
 
-    def __init__(self, tokenizer_json: str, mean_bytes: int = 1024, max_chunk_bytes: int = 32 << 20, max_pieces: int = 700_000):
+    def __init__(self, tokenizer_json: str, mean_bytes: int = 1024, max_chunk_bytes: int = 16 << 20, max_piece_bytes: int = 40 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -84,9 +84,10 @@ class ChunkEncoder:
         self.mean_bytes, self.max_chunk_bytes = mean_bytes, max_chunk_bytes
         self.chunks: dict[bytes, tuple] = {}
         self.chunk_bytes = 0
-        self.max_pieces = max_pieces
+        self.max_piece_bytes, self.piece_bytes = max_piece_bytes, 0
         self.pieces: dict[bytes, tuple[int, str, str]] = {}
         self.units: dict[bytes, tuple[int, str, str]] = {}
+        self.older: tuple[dict, dict] = {}, {}  # pieces and units of the generation before
         self.met, self.made = 0, 0
 
     def _lowers(self) -> bool:
@@ -98,10 +99,19 @@ class ChunkEncoder:
     def _encode(self, ids: list[int]) -> tuple[int, str, str]:
         return len(ids), " ".join(map(str, ids)), self.tokenizer.decode(ids, skip_special_tokens=False)
 
+    def _recalled(self, wanted: set[bytes], known: dict, older: dict) -> set[bytes]:
+        """What is in neither generation; what the older has goes on in the newer."""
+        new = wanted - known.keys()
+        back = new & older.keys()
+        for p in back:
+            known[p] = older[p]
+        self.piece_bytes += sum(400 + 8 * len(p) for p in new)  # about what a piece takes with its ids and text
+        return new - back
+
     def _encode_units(self, units: set[bytes]) -> None:
         """Encode short texts; many are encoded in one call, parted by a special token."""
         known = self.units
-        new = units - known.keys()
+        new = self._recalled(units, known, self.older[1])
         for u in new:
             if self.separator is None or any(x in u for x in self.special):
                 known[u] = self._encode(self.tokenizer.encode(u.decode(), add_special_tokens=False).ids)
@@ -119,7 +129,7 @@ class ChunkEncoder:
 
     def _need(self, wanted: set[bytes]) -> None:
         """Have the encodings of texts between white spaces, by their pre-tokens where these are plain."""
-        new = wanted - self.pieces.keys()
+        new = self._recalled(wanted, self.pieces, self.older[0])
         plain = {p: _ASCII.findall(p.lower()) if self.lower and p.isascii() and b"'" not in p and b"<|" not in p else [p] for p in new}
         self._encode_units({u for us in plain.values() for u in us})
         units = self.units
@@ -163,8 +173,9 @@ class ChunkEncoder:
             self.met += len(own)
         if self.chunk_bytes > self.max_chunk_bytes:
             self.chunks, self.chunk_bytes = {}, 0
-        if len(self.pieces) > self.max_pieces:
-            self.pieces, self.units = {}, {}
+        if self.piece_bytes > self.max_piece_bytes:
+            self.older = self.pieces, self.units
+            self.pieces, self.units, self.piece_bytes = {}, {}, 0
         new = {c for own in lists for c in own if c not in self.chunks}
         self.made += len(new)
         split = {c: self._split(c) for c in new}

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import id_and_text, map_slices
+from tarmac.llm.common import free_name, id_and_text, map_slices
 
 SHARD_WORDS = 1 << 20
 BLOCK_WORDS = 4 << 20
@@ -227,7 +227,7 @@ def contamination(
         return rows
 
     if keep is not None:
-        text, flag = "__checked_text", "__contaminated"
+        text = free_name(docs, "__checked_text")
         kept = docs.select(*[docs[c] for c in keep], F.coalesce(docs[text_col], F.lit("")).alias(text))
         schema = kept.drop(text).schema
 

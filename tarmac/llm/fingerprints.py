@@ -115,33 +115,36 @@ def neighbours(docs: DataFrame, schema: str, each: Callable[[tuple, tuple], tupl
     n = partitions(spark)
     at = [i / (4 * n) for i in range(1, 4 * n)]
     cuts = docs.agg(F.percentile_approx("doc_id", at, 100_000).alias("q")).first()["q"] or []
-    cuts = np.array(sorted(set(cuts)))
+    cuts = np.array(sorted(set(cuts)), np.int64)
     table = spark.sparkContext.broadcast(cuts)  # 4 values a partition
 
-    def bucket_of(ids: pd.Series) -> np.ndarray:
-        b = np.searchsorted(table.value, ids.fillna(0).to_numpy(), side="right")
-        return np.where(ids.isna(), len(table.value) + 1, b)
+    # a column with NULLs would reach Python as floats: ids come without them, beside a flag
+    key = F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)), F.col("doc_id").isNull()
+
+    def bucket_of(ids: pd.Series, none: pd.Series) -> np.ndarray:
+        b = np.searchsorted(table.value, ids.to_numpy(), side="right")
+        return np.where(none, len(table.value) + 1, b)
 
     @F.pandas_udf("int")
-    def bucket(ids: pd.Series) -> pd.Series:
-        return pd.Series(bucket_of(ids)).astype("int32")
+    def bucket(ids: pd.Series, none: pd.Series) -> pd.Series:
+        return pd.Series(bucket_of(ids, none)).astype("int32")
 
-    firsts = docs.select("doc_id", bucket("doc_id").alias("b")).groupBy("b").agg(F.min("doc_id").alias("m")).orderBy("b").collect()
+    firsts = docs.select("doc_id", bucket(*key).alias("b")).groupBy("b").agg(F.min("doc_id").alias("m")).orderBy("b").collect()
     before = {r["b"]: (firsts[i - 1]["b"], r["m"]) for i, r in enumerate(firsts)}  # one entry a bucket
     sent = spark.sparkContext.broadcast(before)
 
     @F.pandas_udf("array<int>")
-    def places(ids: pd.Series) -> pd.Series:
+    def places(ids: pd.Series, none: pd.Series) -> pd.Series:
         """The row's bucket; for a bucket's first id also the bucket before."""
         out = []
-        for i, b in zip(ids, bucket_of(ids), strict=True):
+        for i, gone, b in zip(ids, none, bucket_of(ids, none), strict=True):
             to, least = sent.value[int(b)]
-            first = pd.isna(i) if least is None else i == least
+            first = gone if least is None else not gone and i == least
             out.append([int(b), int(to)] if first else [int(b)])
         return pd.Series(out)
 
     dealt = (
-        docs.select("*", places("doc_id").alias("__to"))
+        docs.select("*", places(*key).alias("__to"))
         .select("doc_id", "text", F.posexplode("__to").alias("tail", "bucket"))
         .repartition(n, "bucket")
         .sortWithinPartitions("bucket", "tail", F.col("doc_id").asc_nulls_last(), "text")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import slices
+from tarmac.llm.common import save, slices
 
 #: texts -> (row of each feature, hashed feature); features may repeat.
 Features = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
@@ -49,25 +49,41 @@ class Ftrl:
 
 
 def fit(rows: DataFrame, features: Features, bits: int = 20, max_rows: int = 20_000, epochs: int = 4, min_docs: int = 5, **ftrl) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weights (indices, values, bias) from ``rows`` (doc_id, text, label).
+    """Weights (indices, values, bias) from the sample ``rows`` (doc_id, text, label).
 
-    Rows without a label are left out. No rows: no weights. Equal hashes are ordered by text.
-    Coordinates met in fewer than ``min_docs`` of the rows are left out.
+    Rows without a label are left out; of more than ``max_rows`` those of least id hash are taken. No
+    rows: no weights. Equal hashes are ordered by a hash of the text. Coordinates met in fewer than
+    ``min_docs`` of the rows are left out. Texts are cut into features where they are; the
+    one task that learns gets the numbers of the common features alone, at most 2 ** bits a row.
     """
+    def cut(batches):
+        for batch in batches:
+            for part in slices(batch):
+                row, f = features(part.column("text").to_pylist())
+                f = (f >> np.uint64(64 - bits)).astype(np.int32)
+                own = [np.unique(x) for x in np.split(f, np.searchsorted(row, np.arange(1, part.num_rows)))]
+                yield pa.RecordBatch.from_arrays([part.column("h"), part.column("t"), part.column("label"), _lists(own)], names=["h", "t", "label", "f"])
+
+    labelled = rows.where("label is not null").select(F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), F.col("label").cast("double").alias("label"), "text")
+    sample = save(labelled.mapInArrow(cut, "h long, t long, label double, f array<int>"), "fit_rows")
+    counts = sample.select(F.explode("f").alias("at")).groupBy("at").count().where(F.col("count") >= min_docs).select("at").toArrow()  # at most 2 ** bits
+    mask = np.zeros(1 << bits, bool)
+    mask[np.asarray(counts.column("at")).astype(np.int64)] = True
+    common = rows.sparkSession.sparkContext.broadcast(np.packbits(mask))
+
+    def keep_common(batches):
+        known = np.unpackbits(common.value).astype(bool)
+        for batch in batches:
+            own = [np.asarray(x.values) for x in batch.column("f")]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], _lists([x[known[x]] for x in own])], names=batch.schema.names)
+
     def train(table: pa.Table) -> pa.Table:
         from tarmac.llm.hashed_linear import Ftrl
 
-        # the order of arrival is not fixed: learn in the order of the hash
-        table = table.sort_by([("h", "ascending"), ("text", "ascending")])
+        # the order of arrival is not fixed: learn in the order of the hashes
+        table = table.sort_by([("h", "ascending"), ("t", "ascending")])
         model = Ftrl(bits, **ftrl)
-        docs, labels = [], table.column("label").to_pylist()
-        for batch in table.to_batches(max_chunksize=500):
-            for part in slices(batch):
-                row, f = features(part.column("text").to_pylist())
-                f = (f >> np.uint64(64 - bits)).astype(np.int64)
-                docs += [np.unique(x).astype(np.int32) for x in np.split(f, np.searchsorted(row, np.arange(1, part.num_rows)))]
-        common = np.bincount(np.concatenate(docs), minlength=1 << bits) >= min_docs
-        docs = [d[common[d]] for d in docs]
+        docs, labels = [np.asarray(x.values) for x in table.column("f")], table.column("label").to_pylist()
         rng = np.random.default_rng(7)
         for _ in range(epochs):
             for i in rng.permutation(len(docs)):
@@ -76,19 +92,17 @@ def fit(rows: DataFrame, features: Features, bits: int = 20, max_rows: int = 20_
         w = model.weights(at)
         return pa.table({"at": pa.array(at[w != 0], pa.int64()), "w": pa.array(w[w != 0], pa.float64())})
 
-    sample = (
-        rows.where("label is not null")
-        .select(F.xxhash64("doc_id").alias("h"), "text", F.col("label").cast("double").alias("label"))
-        .orderBy("h", "text")
-        .limit(max_rows)
-        .withColumn("model", F.lit(0))
-    )
-    got = sample.groupBy("model").applyInArrow(train, "at long, w double").collect()  # at most 2^bits + 1 pairs
+    kept = sample.mapInArrow(keep_common, sample.schema).orderBy("h", "t").limit(max_rows).withColumn("model", F.lit(0))
+    got = kept.groupBy("model").applyInArrow(train, "at long, w double").collect()  # at most 2^bits + 1 pairs
     at, w = np.array([r["at"] for r in got], np.int64), np.array([r["w"] for r in got], np.float64)
     inner = at < 1 << bits
     return at[inner], w[inner], float(w[~inner].sum())
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in rows])), pa.int32()), pa.array(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)))
+
+
 class Scorer:
     """Scores texts with sparse weights; repeated features of a text count once."""
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import map_slices, save, slices
+from tarmac.llm.common import free_name, map_slices, save, slices
 
 MIN_WORDS = 10
 
@@ -159,9 +159,10 @@ def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col:
     """The rows of ``docs`` with the later copies cut from the text; other columns, and rows
     whose text becomes empty, stay."""
     cuts = later_copies(keyed(docs, id_col, text_col), min_words, maximal)
-    cuts = cuts.select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("cuts").alias("__cuts"))
-    key = (F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1)) == F.col("__d")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__t"))
-    joined = docs.join(cuts, key, "left").drop("__d", "__t")
+    d, t = free_name(docs, "__d"), free_name(docs, "__t")
+    cuts = cuts.select(F.col("d").alias(d), F.col("t").alias(t), F.col("cuts").alias(free_name(docs, "__cuts")))
+    key = (F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1)) == cuts[d]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == cuts[t])
+    joined = docs.join(cuts, key, "left").drop(d, t)
     place = docs.columns.index(text_col)
 
     def run(batches):

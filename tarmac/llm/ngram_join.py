@@ -28,11 +28,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.bloom import Bloom, in_bloom, make_bloom
-from tarmac.llm.common import WordHashes, id_and_text, lower_words, map_slices, mix, partitions, save
+from tarmac.llm.bloom import Bloom, in_bloom, sized_bloom
+from tarmac.llm.common import WordHashes, free_name, id_and_text, lower_words, map_slices, mix, partitions, save
 from tarmac.llm.components import components
 
 #: Groups of a posting list that are compared pair by pair.
@@ -119,8 +119,8 @@ class Join:
 
         counts = self.docs.mapInArrow(tokens, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
         counts = save(counts.where("c > 1"), "counts")
-        twice = make_bloom(counts, "token", 25)
-        hot = make_bloom(counts.where(F.col("c") > LONG), "token")
+        twice = sized_bloom(counts, "token")
+        hot = sized_bloom(counts.where(F.col("c") > LONG), "token")
 
         def task():
             def each(part: pa.RecordBatch) -> dict:
@@ -145,7 +145,7 @@ class Join:
     def sets(self, wanted: DataFrame) -> DataFrame:
         """(id, set) of the wanted documents. A Bloom filter leaves out most others before
         their texts are cut up; the join makes it exact."""
-        bloom, n = make_bloom(wanted, "id"), self.n
+        bloom, n = sized_bloom(wanted, "id"), self.n
 
         def some(batches):
             from tarmac.llm.common import slices
@@ -273,39 +273,60 @@ class Join:
             return found.withColumnRenamed("id", "g").join(members.select("g", "id"), "g").select("k", "id")
 
         lead = full.withColumn("id", F.col("doc_id").cast("long")).join(groups.select(F.col("g").alias("id")), "id", "left_semi")
-        lead = lead.dropDuplicates(["id", "p"]) if self.repeated(full) else lead
         postings = lead.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
         links = self.links(postings, expand, members_of)
         inner = save(members.where("k > 1").select(F.col("g").alias("token"), "id", "n", F.lit(0).alias("pos")), "inner")
         if not inner.isEmpty():
             links = links.union(self.links(inner, lambda p: p, lambda m: m))
-        if self.repeated(full):  # texts that differ under one id are one document
-            same = full.join(classes.withColumnRenamed("id", "c"), ["n", "p", "s1", "s2"]).select(F.col("doc_id").cast("long").alias("a"), F.col("c").alias("b")).where("a <> b")
-            links = links.union(same)
         labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         of_class = classes.join(labels, F.col("id") == F.col("node"), "left").select("n", "p", "s1", "s2", F.coalesce("component", "id").alias("component_id"))
         kind = self.docs.schema["doc_id"].dataType
         out = signed.select("doc_id", "n", "p", "s1", "s2").join(of_class, ["n", "p", "s1", "s2"], "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).cast(kind).alias("component_id"))
 
-    def repeated(self, full: DataFrame) -> bool:
-        """Whether some id has rows of different sets."""
-        if not hasattr(self, "_repeated"):
-            self._repeated = not full.groupBy("doc_id").agg(F.countDistinct("n", "s1", "s2").alias("k")).where("k > 1").isEmpty()
-        return self._repeated
+
+def shared_ids(base: DataFrame) -> DataFrame:
+    """Ids that stand for more than one text."""
+    t = F.xxhash64("text")
+    return base.where("doc_id is not null").groupBy("doc_id").agg((F.min(t) != F.max(t)).alias("more")).where("more").select("doc_id")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, share: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; ids are integers."""
-    return Join(id_and_text(docs, id_col, text_col), n, share).run()
+    base = id_and_text(docs, id_col, text_col)
+    if shared_ids(base).isEmpty():
+        return Join(base, n, share).run()
+    # every (id, text) is joined on its own; then components that share an id are one
+    kind = base.schema["doc_id"].dataType
+    own = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    found = save(Join(base.select(own.alias("doc_id"), "text"), n, share).run().distinct().withColumnRenamed("doc_id", "own"), "own_components")
+    ids = save(base.select(own.alias("own"), F.col("doc_id").cast("long").alias("id")), "own_ids")
+    joined = ids.where("own is not null").distinct().join(found, "own")
+    least = joined.groupBy("component_id").agg(F.min("id").alias("least"))
+    nodes = components(joined.join(least, "component_id").select(F.col("id").alias("u"), F.col("least").alias("v")))
+    placed = joined.join(nodes, F.col("id") == F.col("node"), "left").select("own", "n_shingles", F.coalesce("component", "id").cast(kind).alias("component_id"))
+    none = found.where("own is null").select("n_shingles")
+    with_id = ids.where("own is not null").join(placed, "own").select(F.col("id").cast(kind).alias("doc_id"), "n_shingles", "component_id")
+    if none.isEmpty():
+        return with_id
+    lost = Join(base.where("doc_id is null"), n, share).signatures().select(F.col("doc_id").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast(kind).alias("component_id"))
+    return with_id.unionByName(lost)
 
 
 def one_of_each(docs: DataFrame, n: int = 5, share: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that lead their component (or have no id): one document of each
-    group, all columns unchanged."""
+    group, all columns unchanged. Of rows that share the leading id one stays (the least by a hash of the
+    text)."""
     found = near_duplicates(docs, n, share, id_col, text_col)
-    later = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__later")).distinct()
-    kept = docs.join(later, docs[id_col] == F.col("__later"), "left_anti")
-    return kept
+    name = free_name(docs, "__later")
+    later = found.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(later, docs[id_col] == later[name], "left_anti")
+    again = docs.where(docs[id_col].isNotNull()).groupBy(docs[id_col].alias(name)).count().where("count > 1").select(name)
+    if again.isEmpty():
+        return kept
+    twice = kept.join(again, kept[id_col] == again[name], "left_semi")
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), F.xxhash64(*docs.columns)))
+    one = twice.withColumn(name, first).where(F.col(name) == 1).drop(name)
+    return kept.join(again, kept[id_col] == again[name], "left_anti").unionByName(one)
 
 

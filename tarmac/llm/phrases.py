@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.bloom import in_bloom, make_bloom
+from tarmac.llm.bloom import in_bloom, sized_bloom
 from tarmac.llm.common import mix, partitions, save, slices
 from tarmac.llm.words import Counter64, Words, byte_classes, counted, cut_words
 
@@ -71,11 +71,6 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).astype(np.uint64, copy=False).view(np.int64))
 
 
-def _sized_bloom(values: DataFrame, column: str):
-    n = values.count()
-    return make_bloom(values, column, min(max(int(16 * n).bit_length(), 16), MAX_BLOOM_BITS))
-
-
 def collapsed(words: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Equal rows of ``words`` (suffixes by columns) as one, counts added."""
     order = np.lexsort(words.T[::-1])
@@ -259,12 +254,12 @@ class Miner:
         counts = self.word_counts().where(F.col("w").isNull() | (F.col("c") >= self.least))
         counts = save(counts, "word_counts")
         words = counts.where("w is not null")
-        pairs = save(self.pair_counts(_sized_bloom(words, "w")), "pair_counts")
+        pairs = save(self.pair_counts(sized_bloom(words, "w", MAX_BLOOM_BITS)), "pair_counts")
         shards = partitions(self.spark)
         total = pairs.agg(F.sum("c")).first()[0] or 0
         heavy = pairs.where(F.col("c") * 4 * shards >= total).select("p").collect() if total else []  # at most 4 * shards
         heavy = np.array(sorted(np.int64(r["p"]).view(np.uint64) for r in heavy), np.uint64)
-        found = save(self.suffixes(_sized_bloom(pairs, "p"), self.spark.sparkContext.broadcast(heavy)), "suffixes")
+        found = save(self.suffixes(sized_bloom(pairs, "p", MAX_BLOOM_BITS), self.spark.sparkContext.broadcast(heavy)), "suffixes")
         phrases = words.select(F.array("w").alias("p"), F.col("c").alias("a")).unionByName(self.phrase_counts(found))
         names = found.where("c is null").select(F.col("w1").alias("w"), "lang", "word").dropDuplicates(["w"])
         return save(phrases, "phrases"), names, counts.where("w is null").select("lang", F.col("c").alias("n"))

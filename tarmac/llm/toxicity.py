@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import WordHashes, id_and_text, map_slices, mix, slices
+from tarmac.llm.common import WordHashes, free_name, id_and_text, map_slices, mix, slices
 from tarmac.llm.decontaminate import words_of
 from tarmac.llm.hashed_linear import Scorer, fit
 
@@ -77,7 +77,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, m
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 20_000) -> DataFrame:
     """The rows of ``docs`` that score under the threshold, all columns unchanged."""
     weights = docs.sparkSession.sparkContext.broadcast(fit_toxicity(docs, labels, max_rows, id_col, text_col))
-    text = "__scored_text"
+    text = free_name(docs, "__scored_text")
     base = docs.select(*[docs[c] for c in docs.columns], F.coalesce(docs[text_col], F.lit("")).alias(text))
 
     def run(batches):

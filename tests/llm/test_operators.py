@@ -24,6 +24,7 @@ from tarmac.llm.token_counts import PieceTable, long_count, piece_scores, token_
 from tarmac.llm.toxicity import toxicity, without_toxic
 from tests.conftest import SF_ORACLE
 from tests.llm import brute
+from pyspark.sql import functions as F
 from tests.llm.conftest import sentence
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -377,3 +378,40 @@ def test_empty_tables(ready, nothing, marked, scores, bpe_path):
         shard_rows(nothing), contamination(nothing, bench), suffix_dedup(nothing), line_dedup(nothing), without_repeated_lines(nothing), quality(nothing), near_duplicates(nothing), one_of_each(nothing),
     ):
         assert out.count() == 0
+
+
+# --- names that clash, large ids, shared ids
+
+def test_helper_names_do_not_clash(ready, marked):
+    """The stages' own column names, taken by the table (in any case), and the empty table."""
+    docs, labels = marked
+    names = ["__d", "__T", "__cuts", "__later", "__scored_text", "__checked_TEXT", "__contaminated"]
+    for n in names:
+        docs = docs.withColumn(n, F.lit(n))
+    items = ready.createDataFrame([(1, "some benchmark item")], "item_id long, text string")
+    for table in (docs, docs.limit(0)):
+        for out in (without_toxic(table, labels), without_repeated_lines(table), one_of_each(table), contamination(table, items, keep=table.columns)):
+            assert out.columns == docs.columns
+            assert all(r[n] == n for r in out.collect() for n in names)
+
+
+def test_fingerprints_of_large_ids_beside_null(ready):
+    rng = random.Random(8)
+    rows = [(2**60 + i, sentence(rng, 12)) for i in range(200)] + [(None, "no id")]
+    got = {r["doc_id"]: r["edited_sha256"] for r in fingerprints(ready.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    for (i, t), (_, after) in zip(rows[:199], rows[1:200], strict=True):
+        assert got[i] == sha(t[:len(t) - len(t) // 2] + after[:len(t) // 2])
+
+
+def test_shared_ids_keep_their_links(ready):
+    """Texts under a shared id are joined each on its own, and the id ties them together."""
+    rng = random.Random(6)
+    a, x, z = (sentence(rng, 60) for _ in range(3))
+    near = " ".join([*x.split()[:-1], "changed"])
+    rows = [(5, a), (5, x), (7, x), (11, near), (20, z), (20, z), (20, None), (None, x), (30, a + " more")]
+    got = Counter(tuple(r) for r in near_duplicates(ready.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    sizes = {t: len(brute.shingles(t)) for _, t in rows}
+    least = {5: 5, 7: 5, 11: 5, 20: 20, 30: 5, None: None}
+    assert got == Counter((i, sizes[t], least[i]) for i, t in rows)
+    kept = one_of_each(ready.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(r["doc_id"] for r in kept) == Counter([5, 20, None])

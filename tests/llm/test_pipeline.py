@@ -52,4 +52,4 @@ def test_registered_names():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {*registry(), "pipeline"} <= names and len(registry()) == 10
+    assert {*registry(), "pipeline"} <= names and len(registry()) == 13

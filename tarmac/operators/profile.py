@@ -6,11 +6,15 @@ per column), returned as a long table with one row per column (or column pair).
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.kinds import column_kinds, numeric_columns, string_columns
+from tarmac.operators.moments import cross_products
 from tarmac.operators.quantiles import exact_quantiles_with, quantiles
 
 
@@ -95,53 +99,31 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFram
     """(col_a, col_b, corr): Pearson, pairwise-complete (a pair skips rows where
     either value is NULL). NULL where a pair has no rows or one side does not vary.
 
-    Two scans: the columns' means, then one aggregate of plain sums of centred products
-    under both-not-null masks. Rows are never multiplied, and one row of sums per task
-    is shuffled.
+    Two scans: the columns' means, then blocks of cross products of centred values (see
+    ``moments``), whatever the number of columns. Rows are never multiplied; one row of
+    sums per column and task is shuffled.
     """
     cols = list(cols or numeric_columns(df))
+    schema = "col_a string, col_b string, corr double"
     if not cols:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+        return df.sparkSession.createDataFrame([], schema)
     p = range(len(cols))
     x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
     first = x.agg(*[f(f"x{i}").alias(f"{f.__name__}{i}") for i in p for f in (F.avg, F.min, F.max)]).first()
     # a constant column is centred exactly
     centre = [first[f"min{i}"] if first[f"min{i}"] == first[f"max{i}"] else first[f"avg{i}"] for i in p]
-    x = x.select(*[(F.col(f"x{i}") - F.lit(float(centre[i] or 0.0))).alias(f"x{i}") for i in p])
-    sums = []
-    for i in p:
-        sums += [F.count(f"x{i}").alias(f"n_{i}_{i}"), F.sum(f"x{i}").alias(f"s_{i}_{i}"),
-                 F.sum(F.col(f"x{i}") * F.col(f"x{i}")).alias(f"q_{i}_{i}")]
-        for j in p:
-            if i == j:
-                continue
-            seen = F.when(F.col(f"x{j}").isNotNull(), F.col(f"x{i}"))  # i's values where j has one
-            sums += [F.sum(seen).alias(f"s_{i}_{j}"), F.sum(seen * seen).alias(f"q_{i}_{j}")]
-            if i < j:
-                product = F.col(f"x{i}") * F.col(f"x{j}")
-                sums += [F.count(product).alias(f"n_{i}_{j}"), F.sum(product).alias(f"c_{i}_{j}")]
-    one = x.agg(*sums)
-
-    def spread(i, j):
-        """n times the variance of column i on the rows where j has a value; NULL if it does not vary."""
-        n = F.col(f"n_{min(i, j)}_{max(i, j)}")
-        s, q = F.col(f"s_{i}_{j}"), F.col(f"q_{i}_{j}")
-        v = F.when(n > 0, q - s * s / n)
-        return F.when(v > 1e-12 * q, v)
-
-    def corr(i, j):
-        i, j = min(i, j), max(i, j)
-        if i == j:
-            return F.when(spread(i, i).isNotNull(), F.lit(1.0))
-        n = F.col(f"n_{i}_{j}")
-        joint = F.when(n > 0, F.col(f"c_{i}_{j}") - F.col(f"s_{i}_{j}") * F.col(f"s_{j}_{i}") / n)
-        return joint / F.sqrt(spread(i, j) * spread(j, i))
-
-    names = [(f"corr_{i}_{j}", F.lit(a), F.lit(b), corr(i, j)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    # the pairs' rows are made of the one row of sums
-    return one.select(F.inline(F.array(*[
-        F.struct(a.alias("col_a"), b.alias("col_b"), c.alias("corr")) for _, a, b, c in names
-    ])))
+    centre = [0.0 if v is None or not math.isfinite(v) else v for v in centre]
+    found = cross_products(x, x.columns, centre).get(None)
+    if found is None:
+        return df.sparkSession.createDataFrame([(a, b, None) for a in cols for b in cols], schema)
+    n, s, q = found.n, found.s, found.q
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = np.where(n > 0, q - s * s / n, 0.0)  # n times the variance of i where j is set
+        varies = (spread > 1e-12 * q) | np.isnan(spread)
+        corr = (found.c - s * s.T / n) / np.sqrt(spread * spread.T)
+    corr[np.diag_indices(len(cols))] = np.where(np.isnan(np.diag(spread)), np.nan, 1.0)
+    known = varies & varies.T
+    return df.sparkSession.createDataFrame([(a, b, float(corr[i, j]) if known[i, j] else None) for i, a in enumerate(cols) for j, b in enumerate(cols)], schema)
 
 
 def describe(

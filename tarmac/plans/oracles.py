@@ -508,6 +508,29 @@ def cv_grid_ridge() -> str:
     ])
 
 
+def cv_grid_moments() -> str:
+    """Elastic net on two standardized variables: of the solutions for every choice of signs the one
+    of least objective."""
+    x1, x2 = Q.OLS_FEATURES
+    points = [f"({reg}, {share}, 'elasticNetParam={share}, regParam={reg}')" for reg in Q.GRID_SIX["regParam"] for share in Q.GRID_SIX["elasticNetParam"]]
+    ctes = [f"fz AS (SELECT delay AS y, {x1} AS x1, {x2} AS x2, {_fold(Q.CV_FOLDS)} AS fold FROM shipments "
+            f"WHERE {_is_train()} AND delay IS NOT NULL AND {x1} IS NOT NULL AND {x2} IS NOT NULL)",
+            "ft AS (SELECT f.fold, fz.y, fz.x1, fz.x2 FROM (SELECT DISTINCT fold FROM fz) f JOIN fz ON fz.fold <> f.fold)",
+            _ridge_ctes("ft", "", 0, "fold")[0],
+            f"pt AS (SELECT reg::DOUBLE AS reg, share::DOUBLE AS share, params FROM (VALUES {', '.join(points)}) t(reg, share, params))",
+            "pen AS (SELECT mo.*, params, reg * share / dy AS l1, 1 + reg * (1 - share) / dy AS g FROM mo, pt)",
+            "signs AS (SELECT s1, s2 FROM (VALUES (-1), (0), (1)) a(s1), (VALUES (-1), (0), (1)) b(s2))",
+            "sol AS (SELECT *, CASE WHEN s1 = 0 THEN 0 WHEN s2 = 0 THEN (r1 - l1 * s1) / g "
+            "ELSE (g * (r1 - l1 * s1) - r12 * (r2 - l1 * s2)) / (g * g - r12 * r12) END AS a1, "
+            "CASE WHEN s2 = 0 THEN 0 WHEN s1 = 0 THEN (r2 - l1 * s2) / g "
+            "ELSE (g * (r2 - l1 * s2) - r12 * (r1 - l1 * s1)) / (g * g - r12 * r12) END AS a2 FROM pen, signs)",
+            "fit AS (SELECT * FROM sol WHERE a1 * s1 >= 0 AND a2 * s2 >= 0 QUALIFY row_number() OVER (PARTITION BY fold, params ORDER BY "
+            "g * (a1 * a1 + a2 * a2) / 2 + r12 * a1 * a2 - r1 * a1 - r2 * a2 + l1 * (abs(a1) + abs(a2))) = 1)",
+            "co AS (SELECT fold, params, my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM (SELECT *, a1 * dy / d1 AS b1, a2 * dy / d2 AS b2 FROM fit))",
+            "er AS (SELECT fold, params, sqrt(avg((y - b0 - b1 * x1 - b2 * x2) * (y - b0 - b1 * x1 - b2 * x2))) AS rmse FROM fz JOIN co USING (fold) GROUP BY ALL)"]
+    return _with(*ctes) + f"SELECT params, {sig('avg(rmse)')} AS avg_rmse FROM er GROUP BY params"
+
+
 def _stump_ctes(tag: str, source: str, y: str) -> list[str]:
     """best{tag}(feature, threshold, ml, mr): the split of least squared error of ``source``."""
     ctes = [f"tt{tag} AS (SELECT count(*) AS n, sum({y}) AS s FROM {source})"]
@@ -614,6 +637,7 @@ def registry() -> dict[str, str]:
         "kfold_ols": kfold_ols(),
         "linreg_ridge": linreg_ridge(),
         "cv_grid_ridge": cv_grid_ridge(),
+        "cv_grid_moments": cv_grid_moments(),
         "rf_exact": rf_exact(),
         "gbt_exact": gbt_exact(),
         "tree_stump": tree_stump(),

@@ -384,15 +384,29 @@ def q_gbt_predict(spark, sf_dir):
     return _predictions(model, test)
 
 
+GRID = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]}
+# The six-point grid.
+GRID_SIX = {"regParam": [0.1, 0.01], "elasticNetParam": [0.0, 0.5, 1.0]}
+
+
 def q_cv_grid(spark, sf_dir):
+    """Linear grid search by the built-in cross-validator, a fit per point and fold."""
     train, _ = _train_test(spark, sf_dir, OLS_FEATURES)
-    train = FE.assign_folds(train, KEYS, CV_FOLDS).persist()
+    train = FE.assign_folds(train, KEYS, CV_FOLDS)
     lr = M.linear_regression("features", TARGET)
-    grid = param_grid(lr, {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]})
-    _, table = cross_validate(lr, grid, train, TARGET, fold_col=FE.FOLD_COL, num_folds=CV_FOLDS)
+    _, table = cross_validate(lr, param_grid(lr, GRID), train, TARGET, fold_col=FE.FOLD_COL, num_folds=CV_FOLDS)
     return table
 
 
+def q_cv_grid_moments(spark, sf_dir):
+    """The six-point linear grid, all points and folds from one scan."""
+    from tarmac.plans.linear_grid import linear_grid
+    train, _ = _train_test(spark, sf_dir, OLS_FEATURES)
+    train = FE.assign_folds(train, KEYS, CV_FOLDS)
+    _, table = linear_grid(train, OLS_FEATURES, TARGET, GRID_SIX)
+    return table.select("params", round_sig("avg_rmse", 9).alias("avg_rmse"))
+
+
 def q_stream_score(spark, sf_dir):
     from tarmac.streaming.score import stream_score
     model, _, test = _ols_fit(spark, sf_dir)
@@ -556,6 +570,7 @@ def registry() -> dict:
         "rf_predict": q_rf_predict,
         "gbt_predict": q_gbt_predict,
         "cv_grid": q_cv_grid,
+        "cv_grid_moments": q_cv_grid_moments,
         "stream_score": q_stream_score,
         "stream_resume": q_stream_resume,
         "stream_score_events": q_stream_score_events,

@@ -72,6 +72,8 @@ class IndexModel:
 
     def transform(self, df: DataFrame, suffix: str | None = None) -> DataFrame:
         """Replace each column by its index (same name unless ``suffix`` is given)."""
+        if not self.cols:
+            return df
         if self.handle_invalid == "skip":
             df = df.na.drop(how="any", subset=self.cols)
         if self.distributed:
@@ -177,6 +179,8 @@ def fit_index(
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"columns not found: {missing}")
+    if not cols:
+        return IndexModel([], order, handle_invalid, labels={}, out_type=out_type)
     src = df.na.drop(how="any", subset=cols) if handle_invalid == "skip" else df
     counts = label_counts(src, cols)
     if method != "distributed":

@@ -643,6 +643,7 @@ def registry() -> dict[str, str]:
         "tree_stump": tree_stump(),
         "stream_score": linreg_predict(),
         "stream_resume": linreg_predict(),
+        "stored_pipeline": linreg_predict(),
         "stream_score_events": stream_score_events(),
         "csv_roundtrip": _all_rows(),
         "parquet_roundtrip": _all_rows(),

@@ -429,6 +429,23 @@ def q_stream_resume(spark, sf_dir):
     return scored.select(*KEYS, F.col(TARGET).alias("label"), round_dp("prediction", 4).alias("prediction"))
 
 
+def q_stored_pipeline(spark, sf_dir):
+    """Fit, save, load in a new object, and score the test rows as a file stream with what was loaded."""
+    from tarmac.plans.pipeline import PipelineConfig, fit_pipeline
+    from tarmac.plans.stored import load_pipeline, save_pipeline
+    from tarmac.streaming.score import stream_score
+    df = _ship(spark, sf_dir)
+    cfg = PipelineConfig(TARGET, KEYS, columns=OLS_FEATURES, null_policy="dropna", model="ols")
+    fitted, train, _ = fit_pipeline(df, cfg)
+    stored = save_pipeline(spark, fitted, scratch_path(spark, "pipeline"))
+    train.unpersist()
+    loaded = load_pipeline(spark, stored)
+    rows = FE.split_frames(df.select(*KEYS, TARGET, *OLS_FEATURES), KEYS)[1]
+    src = W.write_parquet(rows, scratch_path(spark, "stream-src"))
+    scored = stream_score(spark, loaded, src, rows.schema)
+    return scored.select(*KEYS, F.col(TARGET).alias("label"), round_dp("prediction", 4).alias("prediction"))
+
+
 def q_boosted_predict(spark, sf_dir):
     """Boosting with 100 rounds of depth-3 trees on squared error."""
     train, test = _train_test(spark, sf_dir, TREE_FEATURES)
@@ -573,6 +590,7 @@ def registry() -> dict:
         "cv_grid_moments": q_cv_grid_moments,
         "stream_score": q_stream_score,
         "stream_resume": q_stream_resume,
+        "stored_pipeline": q_stored_pipeline,
         "stream_score_events": q_stream_score_events,
         "boosted_predict": q_boosted_predict,
         "kfold_rf": q_kfold_rf,

@@ -531,16 +531,17 @@ def cv_grid_moments() -> str:
     return _with(*ctes) + f"SELECT params, {sig('avg(rmse)')} AS avg_rmse FROM er GROUP BY params"
 
 
-def _stump_ctes(tag: str, source: str, y: str) -> list[str]:
-    """best{tag}(feature, threshold, ml, mr): the split of least squared error of ``source``."""
+def _stump_ctes(tag: str, source: str, y: str, lam: float = 0) -> list[str]:
+    """best{tag}(feature, threshold, ml, mr): the split of least squared error of ``source``, with ``lam``
+    added to the rows of each side."""
     ctes = [f"tt{tag} AS (SELECT count(*) AS n, sum({y}) AS s FROM {source})"]
     cands = []
     for i, f in enumerate(Q.STUMP_FEATURES):
         ctes.append(f"g{tag}_{i} AS (SELECT CAST({f} AS DOUBLE) AS v, count(*) AS c, sum({y}) AS s FROM {source} GROUP BY {f})")
         ctes.append(f"c{tag}_{i} AS (SELECT v, sum(c) OVER (ORDER BY v) AS nl, sum(s) OVER (ORDER BY v) AS sl, "
                     f"lead(v) OVER (ORDER BY v) AS nv FROM g{tag}_{i})")
-        cands.append(f"SELECT '{f}' AS feature, (v + nv) / 2 AS threshold, sl / nl AS ml, (t.s - sl) / (t.n - nl) AS mr, "
-                     f"sl * sl / nl + (t.s - sl) * (t.s - sl) / (t.n - nl) AS score FROM c{tag}_{i}, tt{tag} t WHERE nv IS NOT NULL")
+        cands.append(f"SELECT '{f}' AS feature, (v + nv) / 2 AS threshold, sl / (nl + {lam}) AS ml, (t.s - sl) / (t.n - nl + {lam}) AS mr, "
+                     f"sl * sl / (nl + {lam}) + (t.s - sl) * (t.s - sl) / (t.n - nl + {lam}) AS score FROM c{tag}_{i}, tt{tag} t WHERE nv IS NOT NULL")
     ctes.append(f"best{tag} AS (SELECT * FROM ({' UNION ALL '.join(cands)}) ORDER BY score DESC LIMIT 1)")
     return ctes
 
@@ -579,6 +580,17 @@ def gbt_exact() -> str:
                            "FROM te, best1, best2")
 
 
+def boosted_regularized() -> str:
+    """Each round fits what the sum so far leaves, leaf values shrunk by lambda and the rate."""
+    one = f"0.3::DOUBLE * CASE WHEN {_left('1')} THEN best1.ml ELSE best1.mr END"
+    two = f"0.3::DOUBLE * CASE WHEN {_left('2')} THEN best2.ml ELSE best2.mr END"
+    ctes = [*_tree_rows(), "ba AS (SELECT avg(y) AS base FROM tr)", "r1 AS (SELECT tr.*, y - base AS r FROM tr, ba)",
+            *_stump_ctes("1", "r1", "r", 1), f"r2 AS (SELECT r1.* EXCLUDE (r), r - {one} AS r FROM r1, best1)",
+            *_stump_ctes("2", "r2", "r", 1)]
+    return _with(*ctes) + (f"SELECT l_orderkey, l_linenumber, y AS label, {rdp(f'base + {one} + {two}', 6)} AS prediction "
+                           "FROM te, ba, best1, best2")
+
+
 def stream_score_events() -> str:
     split = ("((CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10) < 8)")
     ctes = [
@@ -638,6 +650,7 @@ def registry() -> dict[str, str]:
         "linreg_ridge": linreg_ridge(),
         "cv_grid_ridge": cv_grid_ridge(),
         "cv_grid_moments": cv_grid_moments(),
+        "boosted_regularized": boosted_regularized(),
         "rf_exact": rf_exact(),
         "gbt_exact": gbt_exact(),
         "tree_stump": tree_stump(),

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +70,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Have this package on the executors (once a session): tasks that run its Python code import it
+    wherever the session was started. The zip is the driver's own; Spark serves it."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.master == "local" or sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="tarmac-package-")) / "tarmac-package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

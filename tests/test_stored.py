@@ -18,7 +18,7 @@ KEYS = ["id"]
 @pytest.fixture(scope="module")
 def rows(spark):
     rng = random.Random(2)
-    data = [(i, None if i % 11 == 0 else rng.gauss(0, 1), None if i % 3 == 0 else rng.gauss(5, 2), rng.choice(["a", "b", "é", None]), f"t{i % 40}", rng.gauss(0, 3)) for i in range(600)]
+    data = [(i, None if i % 11 == 0 else rng.gauss(0, 1), None if i % 3 == 0 else rng.gauss(5, 2), rng.choice(["a", "b", "é", None]), f"t{i % 20}", rng.gauss(0, 3)) for i in range(600)]
     return spark.createDataFrame(data, "id long, x double, z double, kind string, tail string, y double").repartition(3)
 
 
@@ -30,6 +30,7 @@ def scores(pipeline, df):
     dict(model="linreg", grid={"regParam": [0.0, 0.1]}, handle_invalid="keep"),
     dict(model="rf", model_params={"num_trees": 3}, null_policy="ratio"),
     dict(model="gbt", model_params={"max_iter": 2}, outlier_columns=["y"], outlier_exact=True),
+    dict(model="regularized", model_params={"n_estimators": 2}, handle_invalid="keep"),
     dict(model="boosted", model_params={"n_estimators": 2}, scale=False, null_policy="dropna", index_order="alphabetAsc"),
 ])
 def test_saved_scores_as_before(spark, rows, cfg):

@@ -659,6 +659,7 @@ def registry() -> dict[str, str]:
         "stored_pipeline": linreg_predict(),
         "stream_score_events": stream_score_events(),
         "csv_roundtrip": _all_rows(),
+        "convert_once": _all_rows(),
         "parquet_roundtrip": _all_rows(),
         "union_sources": union_sources(),
         "preview": preview(),

@@ -56,6 +56,19 @@ def q_csv_roundtrip(spark, sf_dir):
     return R.read_csv(spark, path, schema=df.schema, null_value="")
 
 
+def q_convert_once(spark, sf_dir):
+    """CSV converted once: after a first write that failed half-way, and with files that arrive later."""
+    df = _ship(spark, sf_dir)
+    src, target = scratch_path(spark, "csv-source"), scratch_path(spark, "converted")
+    first = F.pmod(F.xxhash64(*KEYS), F.lit(2)) == 0
+    W.write_csv(df.where(first), src)
+    # what a conversion leaves that stopped before it was recorded
+    W.write_parquet(df.where(first & (F.col("order_month") < 6)), f"{target}/batch-000000")
+    R.convert_once(spark, src, target, schema=df.schema, null_value="")
+    W.write_csv(df.where(~first), src, mode="append")
+    return R.convert_once(spark, src, target, schema=df.schema, null_value="")
+
+
 def q_parquet_roundtrip(spark, sf_dir):
     df = _ship(spark, sf_dir)
     path = scratch_path(spark, "parquet-roundtrip")
@@ -609,6 +622,7 @@ def registry() -> dict:
         "rf_flow": q_rf_flow,
         "boosted_flow": q_boosted_flow,
         "csv_roundtrip": q_csv_roundtrip,
+        "convert_once": q_convert_once,
         "parquet_roundtrip": q_parquet_roundtrip,
         "union_sources": q_union_sources,
         "preview": q_preview,

@@ -3,6 +3,7 @@ headers, and convert-once CSV -> Parquet."""
 
 from __future__ import annotations
 
+import json
 from collections import OrderedDict
 from concurrent.futures import ThreadPoolExecutor
 
@@ -170,6 +171,49 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def source_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time) of the files that ``path`` (a file, a directory or a pattern) names."""
+    fs, p, _ = _hadoop_fs(spark, path)
+    out = []
+    for st in fs.globStatus(p) or []:
+        for f in fs.listStatus(st.getPath()) if st.isDirectory() else [st]:
+            if not f.isDirectory() and not f.getPath().getName().startswith(("_", ".")):
+                out.append((f.getPath().toString(), int(f.getLen()), int(f.getModificationTime())))
+    return sorted(out)
+
+
+def _manifest(spark: SparkSession, target: str) -> list[dict]:
+    """The finished batches of a conversion, in order."""
+    folder = f"{target}/_manifest"
+    if not path_exists(spark, folder):
+        return []
+    fs, p, jvm = _hadoop_fs(spark, folder)
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p))
+    out = []
+    for name in names:
+        if name.endswith(".json") and name[0] not in "._":
+            stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+            try:
+                out.append(json.loads(bytes(stream.readAllBytes())))
+            finally:
+                stream.close()
+    return out
+
+
+def _commit(spark: SparkSession, target: str, number: int, entry: dict) -> None:
+    """Record a finished batch: written aside, then put in place by one rename."""
+    fs, _, jvm = _hadoop_fs(spark, target)
+    name = f"{target}/_manifest/{number:06d}.json"
+    aside, final = jvm.org.apache.hadoop.fs.Path(f"{target}/_manifest/_{number:06d}"), jvm.org.apache.hadoop.fs.Path(name)
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(json.dumps(entry).encode()))
+    finally:
+        stream.close()
+    if not fs.rename(aside, final):
+        raise RuntimeError(f"{name} was written by another conversion")
+
+
 def convert_once(
     spark: SparkSession,
     csv_path: str,
@@ -177,8 +221,29 @@ def convert_once(
     schema: T.StructType | None = None,
     null_value: str = "NA",
 ) -> DataFrame:
-    """CSV -> Parquet only when the Parquet target does not exist; returns the Parquet."""
-    if not path_exists(spark, parquet_path):
-        read_csv(spark, csv_path, schema=schema, null_value=null_value, infer=schema is None) \
-            .write.mode("ignore").parquet(parquet_path)
-    return spark.read.parquet(parquet_path)
+    """CSV -> Parquet, every source file once; returns the Parquet.
+
+    The target holds a folder per conversion and a manifest of the finished ones with their source
+    files (path, bytes, time). Source files that no finished conversion lists are converted and
+    added, so a conversion that failed is done again and files that arrive later are appended; listed files are not read
+    again, also if they have changed or gone. Without ``schema`` the first conversion's inferred
+    one holds for all. A finished Parquet folder of another writer is taken as it is.
+    """
+    done = _manifest(spark, parquet_path)
+    if not done and path_exists(spark, f"{parquet_path}/_SUCCESS"):
+        return spark.read.parquet(parquet_path)
+    listed = {f[0] for entry in done for f in entry["files"]}
+    new = [f for f in source_files(spark, csv_path) if f[0] not in listed]
+    if not new and not done:
+        raise FileNotFoundError(f"no files at {csv_path}")
+    if schema is None and done:
+        schema = T.StructType.fromJson(json.loads(done[0]["schema"]))
+    if new:
+        number = len(done)
+        df = read_csv(spark, [f[0] for f in new], schema=schema, null_value=null_value, infer=schema is None)
+        batch = f"batch-{number:06d}"
+        df.write.mode("overwrite").parquet(f"{parquet_path}/{batch}")  # over what a failed run may have left
+        entry = {"batch": batch, "files": new, "schema": df.schema.json()}
+        _commit(spark, parquet_path, number, entry)
+        done.append(entry)
+    return spark.read.schema(T.StructType.fromJson(json.loads(done[0]["schema"]))).parquet(*[f"{parquet_path}/{e['batch']}" for e in done])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tarmac.session import scratch_path
@@ -87,6 +88,33 @@ def test_convert_once_does_not_overwrite(spark):
     assert R.convert_once(spark, f"{base}/in.csv", out).count() == 1
 
 
+def test_convert_once_after_failure_and_with_new_files(spark, monkeypatch):
+    base = _local(scratch_path(spark, "convert"))
+    _write_text(f"{base}/in/a.csv", "k,v\n1,x\n2,NA\n")
+    out = f"{base}/out.parquet"
+    commit = R._commit
+
+    def fails(*args):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(R, "_commit", fails)
+    with pytest.raises(RuntimeError):
+        R.convert_once(spark, f"{base}/in", out)
+    monkeypatch.setattr(R, "_commit", commit)
+    rows = lambda: sorted((r["k"], r["v"]) for r in R.convert_once(spark, f"{base}/in", out).collect())
+    assert rows() == [(1, "x"), (2, None)] == rows()
+    _write_text(f"{base}/in/b.csv", "k,v\n3,z\n")
+    _write_text(f"{base}/in/_hidden.csv", "k,v\n9,q\n")
+    assert rows() == [(1, "x"), (2, None), (3, "z")] == rows()
+    listed = R._manifest(spark, out)
+    assert [e["batch"] for e in listed] == ["batch-000000", "batch-000001"] and all(len(e["files"]) == 1 for e in listed)
+    other = f"{base}/other.parquet"  # a finished folder of another writer
+    spark.range(4).write.parquet(other)
+    assert R.convert_once(spark, f"{base}/in", other).count() == 4
+    with pytest.raises(FileNotFoundError):
+        R.convert_once(spark, f"{base}/none*.csv", f"{base}/new")
+
+
 def test_block_size_controls_splits(spark):
     base = _local(scratch_path(spark, "blocks"))
     _write_text(f"{base}/big.csv", "a\n" + "\n".join(str(i) for i in range(200_000)) + "\n")

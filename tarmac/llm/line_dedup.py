@@ -1,16 +1,13 @@
 """Removal of repeated runs of lines, by prefix doubling over line ids.
 
-A document is the sequence of its non-blank lines, each a 128-bit id. A window is the shortest
-run of lines from a place on that holds ``min_words`` words. A window that also starts earlier
-(smaller document, or the same document further up) is a later copy, and its lines are
-deleted; overlapping copies unite. By default that is all (the rule of the SQL and of the query):
-lines of a repeated run after its last window, fewer than ``min_words`` words, stay. With
-``maximal`` every maximal repeated run of ``min_words`` words is deleted to its end.
-
-For that, a place also has the longer windows whose lines after the first hold fewer than
-``min_words`` words. These are enough: if a run goes on further, the next place starts a window
-in it, and where no window follows, the rest of the run is that short. Equal windows have the
-same longer windows, so copies meet at each length.
+A document is the sequence of its non-blank lines, each a 128-bit id. A run of lines that also
+starts earlier (smaller document, or the same document further up) is a later copy. Every maximal
+one of ``min_words`` words or more is deleted to its end; overlapping copies unite.
+
+Runs are found by windows. The windows of a place are the runs from there that hold ``min_words``
+words, and whose lines after the first hold fewer. These are enough: if a run goes on further,
+the next place starts a window in it, and where no window follows, the rest of the run is that
+short. Equal windows have the same longer windows, so copies meet at each length.
 
 Suffixes of the line sequences are named by distributed prefix doubling: the name of the first
 2^(k+1) lines at a place is made from the names of 2^k lines there and 2^k lines further on,
@@ -21,8 +18,10 @@ twice take part, as no other line can be in a repeated window, and levels are ma
 the longest window needs.
 
 Rules: lines end at "\\n"; a line of white space only is blank, is in no window and is deleted
-only between two deleted lines of one run. A line's words are its spaces plus one. A text with fewer than
-``min_words`` words after a place has no window there. NULL is the empty text. Documents are
+only between two deleted lines of one run. A line's words are its spaces plus one, or a word for
+each ``WORD_BYTES`` bytes (UTF-8) where that is more, as in text without spaces. A text with fewer than
+``min_words`` words after a place has no window there. Very long texts: a task handles a slice's texts,
+one document at a time, and their lines are rows. No rows, no copies: an empty table gives an empty one. NULL is the empty text. Documents are
 ordered by id, those without one last; rows of equal id by a hash of the text; rows of equal id
 and text are the same document and get equal results.
 """
@@ -39,12 +38,13 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import free_name, map_slices, save, slices
 
 MIN_WORDS = 10
+WORD_BYTES = 20
 
 
 def line_rows(text: str, min_words: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The non-blank lines, and how many lines the window and the longest window from each take (0: none)."""
     lines = [x for x in text.encode().split(b"\n") if x.strip()]
-    total = np.cumsum([0, *[x.count(b" ") + 1 for x in lines]])
+    total = np.cumsum([0, *[max(x.count(b" ") + 1, len(x) // WORD_BYTES) for x in lines]])
     end = np.searchsorted(total, total[:-1] + min_words)
     last = np.maximum(end, np.searchsorted(total, total[1:] + min_words) - 1)
     return lines, *(np.where(end < len(total), x - np.arange(len(lines)), 0) for x in (end, last))
@@ -55,9 +55,9 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(text.alias("text"), F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64(text).alias("t"))
 
 
-def later_copies(docs: DataFrame, min_words: int, maximal: bool = False) -> DataFrame:
-    """(d, t, cuts): for each document (d, t, text) the windows (first line, lines) that are later copies."""
-    place = ["d", "t", "i", "size", *(["last"] if maximal else [])]
+def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
+    """(d, t, cuts): for each document (d, t, text) the windows (first line, lines) that are later copies, which make up the maximal runs."""
+    place = ["d", "t", "i", "size", "last"]
 
     def run(batches):
         import xxhash
@@ -76,18 +76,18 @@ def later_copies(docs: DataFrame, min_words: int, maximal: bool = False) -> Data
                 if not ids:
                     continue
                 doc, h = np.concatenate(doc), np.frombuffer(b"".join(ids), np.int64).reshape(-1, 2)
-                cols = (d[doc], t[doc], np.concatenate(at), np.concatenate(size), *([np.concatenate(last)] if maximal else []), h[:, 0], h[:, 1])
+                cols = (d[doc], t[doc], np.concatenate(at), np.concatenate(size), np.concatenate(last), h[:, 0], h[:, 1])
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).astype(np.int64)) for c in cols], names=[*place, "p", "q"])
 
     lines = save(docs.mapInArrow(run, ", ".join(f"{c} long" for c in [*place, "p", "q"])), "lines")
     once = lines.groupBy("p", "q").agg(F.count("*").alias("c")).where("c > 1").select("p", "q")
     names = save(lines.join(once, ["p", "q"], "left_semi").dropDuplicates(["d", "t", "i"]), "names")
-    longest = names.agg(F.max(place[-1]).alias("m")).first()["m"] or 0
+    longest = names.agg(F.max("last").alias("m")).first()["m"] or 0
 
     found, level = [], 0
     while (1 << level) <= longest:
         reach = 1 << level  # names stand for this many lines
-        own = names.where("size > 0").withColumn("size", F.explode(F.sequence("size", "last"))) if maximal else names
+        own = names.where("size > 0").withColumn("size", F.explode(F.sequence("size", "last")))
         own = own.where((F.col("size") >= reach) & (F.col("size") < 2 * reach))
         if level:
             far = names.select("d", "t", F.col("i").alias("j"), F.col("p").alias("p2"), F.col("q").alias("q2"))
@@ -133,10 +133,10 @@ def cut_lines(text: str, cuts) -> tuple[str, int, int, int, int]:
     return kept, len(solid), int(sizes.sum()), len(edges), int(sizes.max())
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", texts: bool = False, maximal: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """(doc_id, n_lines, n_deleted, n_runs, longest_run, kept_sha256[, kept]) for every row."""
     base = keyed(docs.select(docs[id_col], docs[text_col]), id_col, text_col)
-    cuts = later_copies(base, min_words, maximal)
+    cuts = later_copies(base, min_words)
     rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     joined = rows.withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("t", F.xxhash64("text")).join(cuts, ["d", "t"], "left")
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -155,10 +155,10 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
     return map_slices(joined.select("doc_id", "text", "cuts"), schema, task)
 
 
-def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", maximal: bool = False) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the later copies cut from the text; other columns, and rows
     whose text becomes empty, stay."""
-    cuts = later_copies(keyed(docs, id_col, text_col), min_words, maximal)
+    cuts = later_copies(keyed(docs, id_col, text_col), min_words)
     d, t = free_name(docs, "__d"), free_name(docs, "__t")
     cuts = cuts.select(F.col("d").alias(d), F.col("t").alias(t), F.col("cuts").alias(free_name(docs, "__cuts")))
     key = (F.coalesce(docs[id_col].cast("long"), F.lit((1 << 63) - 1)) == cuts[d]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == cuts[t])

@@ -28,17 +28,14 @@ LINE_DEDUP = r"""
 WITH raw AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS r FROM documents),
 solid AS (
-  SELECT doc_id, r, line, len(line) - len(replace(line, ' ', '')) + 1 AS n, row_number() OVER (PARTITION BY doc_id ORDER BY r) AS i
+  SELECT doc_id, r, line, greatest(len(line) - len(replace(line, ' ', '')) + 1, strlen(line) // 20) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY r) AS i
   FROM raw WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
-total AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM solid),
-windows AS (
-  SELECT a.doc_id, a.i, b.i AS j FROM (SELECT doc_id, i, upto - n + 10 AS need FROM total) a
-  ASOF JOIN (SELECT doc_id, i, upto FROM total) b ON a.doc_id = b.doc_id AND a.need <= b.upto),
-content AS (
-  SELECT w.doc_id, w.i, w.j, string_agg(s.line, chr(10) ORDER BY s.i) AS c
-  FROM windows w JOIN solid s ON s.doc_id = w.doc_id AND s.i BETWEEN w.i AND w.j GROUP BY ALL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY doc_id, i) AS k FROM content),
-gone AS (SELECT DISTINCT s.doc_id, s.i FROM ranked w JOIN solid s ON s.doc_id = w.doc_id AND s.i BETWEEN w.i AND w.j WHERE w.k > 1),
+pairs AS (
+  SELECT a.doc_id, a.i, a.n, b.doc_id AS earlier, a.i - b.i AS lead
+  FROM solid a JOIN solid b ON a.line = b.line AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.i < a.i))),
+stretches AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, earlier, lead ORDER BY i) AS s FROM pairs),
+repeats AS (SELECT doc_id, min(i) AS a, max(i) AS b FROM stretches GROUP BY doc_id, earlier, lead, s HAVING sum(n) >= 10),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM repeats),
 marked AS (SELECT s.*, g.i IS NOT NULL AS gone FROM solid s LEFT JOIN gone g USING (doc_id, i)),
 islands AS (SELECT doc_id, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run, count(*) OVER (PARTITION BY doc_id) AS total FROM marked WHERE gone),
 runs AS (SELECT doc_id, sum(n)::BIGINT AS n_deleted, count(*) AS n_runs, max(n) AS longest_run FROM (SELECT doc_id, run, count(*) AS n FROM islands GROUP BY ALL) GROUP BY doc_id),

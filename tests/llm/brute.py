@@ -74,19 +74,19 @@ def suffix_dedup(docs: list[tuple], width: int = 100) -> dict:
 
 
 def line_dedup(docs: list[tuple], min_words: int = 10) -> dict:
-    """id -> (non-blank lines kept, lines deleted); docs in order."""
-    seen, out = set(), {}
-    for d, text in docs:
-        lines = [x for x in (text or "").split("\n") if x.encode().strip()]
-        gone = set()
-        for a in range(len(lines)):
-            b, n = a, 0
-            while b < len(lines) and n < min_words:
-                n += lines[b].count(" ") + 1
-                b += 1
-            if n >= min_words:
-                if tuple(lines[a:b]) in seen:
-                    gone.update(range(a, b))
-                seen.add(tuple(lines[a:b]))
-        out[d] = [x for k, x in enumerate(lines) if k not in gone], len(gone)
-    return out
+    """id -> (non-blank lines kept, lines deleted); docs in order. From each place the longest run
+    that also starts earlier, found line by line, goes if it holds enough words."""
+    lines = [(d, [x for x in (text or "").split("\n") if x.encode().strip()]) for d, text in docs]
+    gone, met = defaultdict(set), defaultdict(list)
+    for d, x in lines:
+        for k in range(len(x)):
+            best = 0
+            for y, j in met[x[k]]:
+                size = 0
+                while max(j - len(y), k - len(x)) + size < 0 and x[k + size] == y[j + size]:
+                    size += 1
+                best = max(best, size)
+            if sum(max(s.count(" ") + 1, len(s.encode()) // 20) for s in x[k:k + best]) >= min_words:
+                gone[d].update(range(k, k + best))
+            met[x[k]].append((x, k))
+    return {d: ([s for k, s in enumerate(x) if k not in gone[d]], len(gone[d])) for d, x in lines}

@@ -559,6 +559,12 @@ def _tree_rows() -> list[str]:
             f"te AS (SELECT {cols} FROM shipments WHERE NOT {_is_train()} AND {nn})"]
 
 
+def deep_tree() -> str:
+    feats = ", ".join(Q.DEEP_FEATURES)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in ["delay", *Q.DEEP_FEATURES])
+    return _with() + f"SELECT l_orderkey, l_linenumber, {rdp(f'avg(delay) OVER (PARTITION BY {feats})', 6)} AS prediction FROM shipments WHERE {nn}"
+
+
 def rf_exact() -> str:
     ctes = [*_tree_rows(), *_stump_ctes("0", "tr", "y")]
     for tag, side in (("1", ""), ("2", "NOT ")):
@@ -651,6 +657,7 @@ def registry() -> dict[str, str]:
         "cv_grid_ridge": cv_grid_ridge(),
         "cv_grid_moments": cv_grid_moments(),
         "boosted_regularized": boosted_regularized(),
+        "deep_tree": deep_tree(),
         "rf_exact": rf_exact(),
         "gbt_exact": gbt_exact(),
         "tree_stump": tree_stump(),

@@ -327,6 +327,18 @@ def dictionary_encode() -> str:
     return _alpha_codes(["o_orderpriority", "o_orderstatus", "l_linestatus"], lambda c: c)
 
 
+def dictionary_large() -> str:
+    ctes = [
+        f"lab{i} AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS idx "
+        f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM shipments WHERE {c} IS NOT NULL))"
+        for i, c in enumerate(Q.LARGE_CODED)
+    ]
+    joins = " ".join(f"LEFT JOIN lab{i} ON CAST(s.{c} AS VARCHAR) = lab{i}.v" for i, c in enumerate(Q.LARGE_CODED))
+    sel = ", ".join(f"coalesce(lab{i}.idx, CAST((SELECT count(*) FROM lab{i}) AS INTEGER)) AS {c}_code, "
+                    f"lab{i}.v AS {c}_decoded" for i, c in enumerate(Q.LARGE_CODED))
+    return _with(*ctes) + f"SELECT s.l_orderkey, s.l_linenumber, {sel} FROM shipments s {joins}"
+
+
 def categorize_roundtrip() -> str:
     ctes = ["lab AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS idx "
             "FROM (SELECT DISTINCT o_orderpriority AS v FROM shipments WHERE o_orderpriority IS NOT NULL))"]
@@ -643,6 +655,7 @@ def registry() -> dict[str, str]:
         "string_index_numeric": string_index_numeric(),
         "label_encode": label_encode(),
         "dictionary_encode": dictionary_encode(),
+        "dictionary_large": dictionary_large(),
         "categorize_roundtrip": categorize_roundtrip(),
         "categorize_nulls": categorize_nulls(),
         "hash_split": hash_split(),

@@ -247,6 +247,19 @@ def q_dictionary_encode(spark, sf_dir):
     return out.select(*KEYS, *cols)
 
 
+# Dictionaries over this many entries are joined (together) in the query, not broadcast.
+LARGE_DICTIONARY = 5
+LARGE_CODED = ["l_orderkey", "order_month", "l_returnflag"]
+
+
+def q_dictionary_large(spark, sf_dir):
+    """Codes of large dictionaries (one exchange of the table for all of them) and back."""
+    model = E.fit_index(_ship(spark, sf_dir), LARGE_CODED, E.ALPHABET_ASC, "keep", method="distributed",
+                        out_type="int", broadcast_labels=LARGE_DICTIONARY)
+    back = E.decode(model.transform(_ship(spark, sf_dir), suffix="_code"), model)
+    return back.select(*KEYS, *[c + s for c in LARGE_CODED for s in ("_code", "_decoded")])
+
+
 def q_categorize_roundtrip(spark, sf_dir):
     df = _ship(spark, sf_dir)
     coded, model = E.categorize(df, ["o_orderpriority"])
@@ -600,6 +613,7 @@ def registry() -> dict:
         "string_index_numeric": q_string_index_numeric,
         "label_encode": q_label_encode,
         "dictionary_encode": q_dictionary_encode,
+        "dictionary_large": q_dictionary_large,
         "categorize_roundtrip": q_categorize_roundtrip,
         "categorize_nulls": q_categorize_nulls,
         "hash_split": q_hash_split,

@@ -101,3 +101,31 @@ def test_distributed_join_with_hot_value_matches_driver(spark):
         ta = sorted(r.v for r in a.transform(df).collect())
         tb = sorted(r.v for r in b.transform(df).collect())
         assert ta == tb, how
+
+
+@pytest.mark.parametrize("how", ["keep", "skip"])
+def test_large_dictionaries_share_one_exchange_of_the_table(spark, how):
+    rows = [(i, "hot" if i % 3 else f"v{i}", f"w{i % 50}" if i % 7 else None, "p" if i % 2 else "q", "payload") for i in range(600)]
+    df = spark.createDataFrame(rows, "n long, a string, b string, c string, __row string")
+    small = E.fit_index(df, ["a", "b", "c"], E.FREQUENCY_DESC, how)
+    large = E.fit_index(df, ["a", "b", "c"], E.FREQUENCY_DESC, how, method="distributed", broadcast_labels=2)
+    got = large.transform(df, suffix="_code")
+    # planned, not yet run: the plan of a finished query shows its first form too
+    plan = got._jdf.queryExecution().explainString(got.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    nodes = [p for p in plan.split("\n\n") if ") Exchange\n" in p]
+    assert len([p for p in nodes if "__row#" in p.split("Arguments")[0] and "n#" in p.split("Arguments")[0]]) == 1, plan
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, small.transform(df, suffix="_code").collect()))
+    back = E.decode(got, large)
+    assert back.count() == got.count()
+    assert back.where("not (a <=> a_decoded) or not (b <=> b_decoded) or not (c <=> c_decoded)").count() == 0
+
+
+def test_unseen_labels_of_large_dictionaries(spark):
+    train = spark.createDataFrame([(f"k{i}", f"m{i}") for i in range(20)], "a string, b string")
+    rows = spark.createDataFrame([("k1", "m2"), ("new", "m3"), (None, None)], "a string, b string")
+    args = {"order": E.ALPHABET_ASC, "method": "distributed", "broadcast_labels": 1}
+    keep = E.fit_index(train, ["a", "b"], handle_invalid="keep", **args).transform(rows)
+    assert sorted(map(tuple, keep.collect())) == [(1.0, 12.0), (20.0, 13.0), (20.0, 20.0)]
+    assert E.fit_index(train, ["a", "b"], handle_invalid="skip", **args).transform(rows).count() == 1
+    with pytest.raises(Exception, match="unseen or NULL"):
+        E.fit_index(train, ["a", "b"], handle_invalid="error", **args).transform(rows).collect()

@@ -172,7 +172,8 @@ def null_policy_60_5_apply() -> str:
     )
 
 
-def null_policy_40_10() -> str:
+def _ratio_chain() -> tuple[list[str], str]:
+    """Counts, means and the 40/10 action of each column; and the condition that keeps a row."""
     cols = Q.POLICY_NUMERIC
     stats = ", ".join(f"count(*) - count({c}) AS m{i}, avg({c}) AS a{i}" for i, c in enumerate(cols))
     acts = ", ".join(
@@ -188,6 +189,14 @@ def null_policy_40_10() -> str:
     ctes = [
         f"tot AS (SELECT count(*) AS n, {stats} FROM shipments)",
         f"acts AS (SELECT tot.*, {acts} FROM tot)",
+    ]
+    return ctes, cond
+
+
+def null_policy_40_10() -> str:
+    cols = Q.POLICY_NUMERIC
+    ctes, cond = _ratio_chain()
+    ctes += [
         f"ra AS (SELECT CAST(count(*) AS BIGINT) AS rows_after FROM shipments, acts WHERE {cond})",
     ]
     return _with(*ctes) + _union([
@@ -198,6 +207,32 @@ def null_policy_40_10() -> str:
     ])
 
 
+def null_policy_40_10_apply() -> str:
+    ctes, cond = _ratio_chain()
+
+    def one(c):
+        i = Q.POLICY_NUMERIC.index(c)
+        filled = f"CASE WHEN acts.act{i} = 'impute' THEN coalesce(shipments.{c}, acts.a{i}) ELSE shipments.{c} END"
+        return f"{rdp(filled, 6)} AS {c}"
+    return _with(*ctes) + (f"SELECT {', '.join('shipments.' + k for k in KEYS)}, "
+                           f"{', '.join(map(one, Q.RATIO_APPLIED))} FROM shipments, acts WHERE {cond}")
+
+
+def sweep_records() -> str:
+    """Rows that the pipeline's cleaning keeps, for every setting: the 60/5 rule, then no NULL category."""
+    cols = Q.POLICY_NUMERIC
+    cats = " AND ".join(f"{c} IS NOT NULL" for c in CATEGORICAL)
+    settings = ", ".join(f"({n})" for n in Q.SWEEP_EXACT)
+    return _with(*_policy_chain(cols, 0.6, 0.05)) + (
+        f"SELECT CAST(p AS INTEGER) AS partition_size, 1 AS parallelism, 1 AS task_cpus, k.n AS rows_clean "
+        f"FROM (VALUES {settings}) v(p), (SELECT count(*) AS n FROM r{len(cols)} WHERE {cats}) k")
+
+
+def csv_overridden() -> str:
+    return _with() + ("SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
+                      "o_orderpriority, CAST(order_month AS VARCHAR) AS order_month FROM shipments")
+
+
 def null_policy_thresh() -> str:
     stats = ", ".join(
         f"count(*) - count({c}) AS m{i}" + (f", avg({c}) AS a{i}" if c in NUMERIC else "")
@@ -644,6 +679,10 @@ def registry() -> dict[str, str]:
         "null_policy_60_5": null_policy_60_5(),
         "null_policy_60_5_apply": null_policy_60_5_apply(),
         "null_policy_40_10": null_policy_40_10(),
+        "null_policy_40_10_apply": null_policy_40_10_apply(),
+        "sweep_records": sweep_records(),
+        "csv_overridden": csv_overridden(),
+        "compacted": _all_rows(),
         "null_policy_thresh": null_policy_thresh(),
         "null_policy_thresh_apply": null_policy_thresh_apply(),
         "column_kinds": column_kinds(),

@@ -188,6 +188,16 @@ def q_null_policy_40_10(spark, sf_dir):
     return _policy_report(spark, model).withColumn("rows_after", F.lit(rows_after).cast("bigint"))
 
 
+# Columns whose applied values the 40/10 key returns.
+RATIO_APPLIED = ["delay", "l_quantity", "l_extendedprice", "l_tax", "o_totalprice"]
+
+
+def q_null_policy_40_10_apply(spark, sf_dir):
+    df = _ship(spark, sf_dir)
+    out = C.fit_null_policy_ratio(df, POLICY_NUMERIC, 0.4, 0.1).transform(df)
+    return out.select(*KEYS, *[round_dp(c, 6).alias(c) for c in RATIO_APPLIED])
+
+
 def q_null_policy_thresh(spark, sf_dir):
     return _policy_report(spark, C.fit_null_policy_threshold(_ship(spark, sf_dir), 0.6))
 
@@ -591,6 +601,37 @@ def q_sweep_partitions(spark, sf_dir):
                  make_config=lambda par: lr_flow(TARGET, KEYS, grid=SWEEP_GRID, parallelism=par))
 
 
+# Settings of the sweep whose rows are stated in SQL.
+SWEEP_EXACT = [4, 16]
+
+
+def q_sweep_records(spark, sf_dir):
+    """The fixed columns of run records: a setting each, with the rows that its cleaning kept."""
+    from tarmac.plans.sweep import read_run_records, sweep, write_run_records
+    runs = sweep(spark, lambda: _ship(spark, sf_dir), partition_sizes=SWEEP_EXACT)
+    path = write_run_records(runs, scratch_path(spark, "run-records"))
+    back = read_run_records(spark, path)
+    return back.select("partition_size", "parallelism", "rows_clean", "task_cpus")
+
+
+def q_csv_overridden(spark, sf_dir):
+    """CSV read with types inferred but for chosen columns, in splits of a set size."""
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "csv-overridden")
+    W.write_csv(_ship(spark, sf_dir).select(*KEYS, "o_orderpriority", "order_month"), path)
+    return R.read_csv(spark, path, null_value="", infer=True, overrides={"order_month": T.StringType()},
+                      max_partition_bytes=256 * 1024).select(
+        F.col("l_orderkey").cast("bigint").alias("l_orderkey"), F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
+        "o_orderpriority", "order_month")
+
+
+def q_compacted(spark, sf_dir):
+    """The table exported in few files of a set size."""
+    path = scratch_path(spark, "compacted")
+    W.write_compacted(_ship(spark, sf_dir), path, target_file_bytes=1 << 20)
+    return R.read_parquet(spark, path)
+
+
 def registry() -> dict:
     return {
         "null_profile": q_null_profile,
@@ -603,6 +644,7 @@ def registry() -> dict:
         "null_policy_60_5": q_null_policy_60_5,
         "null_policy_60_5_apply": q_null_policy_60_5_apply,
         "null_policy_40_10": q_null_policy_40_10,
+        "null_policy_40_10_apply": q_null_policy_40_10_apply,
         "null_policy_thresh": q_null_policy_thresh,
         "null_policy_thresh_apply": q_null_policy_thresh_apply,
         "mean_impute": q_mean_impute,
@@ -643,6 +685,9 @@ def registry() -> dict:
         "kfold_rf": q_kfold_rf,
         "deep_tree": q_deep_tree,
         "sweep_partitions": q_sweep_partitions,
+        "sweep_records": q_sweep_records,
+        "csv_overridden": q_csv_overridden,
+        "compacted": q_compacted,
         "lr_flow": q_lr_flow,
         "gbt_flow": q_gbt_flow,
         "rf_flow": q_rf_flow,

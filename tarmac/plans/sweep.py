@@ -2,22 +2,49 @@
 
 Settings that can change at run time are swept in one session:
 ``spark.sql.shuffle.partitions`` (the partition size of the reference's sweeps) and
-the grid-search parallelism. Executor counts and memory are deployment settings and
-are recorded only when given. The result is a DataFrame of run records.
+the grid-search parallelism. Executor counts, cores and memory are deployment settings: each
+record states those of its session. While a sweep runs, adaptive execution does not merge
+partitions, which would undo the setting. The result is a DataFrame of run records; where the
+session writes an event log that can be read (``run_log``), a record also has the tasks, their
+times, the shuffled and the spilled bytes of its run.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.plans.run_log import event_log_path, run_figures
+from tarmac.sources.tables import materialize
+
 RUN_SCHEMA = (
     "partition_size int, parallelism int, cleaning_time double, training_time double, "
-    "rows_clean bigint, rmse double"
+    "rows_clean bigint, rmse double, memory string, executor_cores int, executor_instances int, task_cpus int, "
+    "stages bigint, tasks bigint, task_seconds double, longest_task_seconds double, "
+    "shuffle_read_bytes bigint, shuffle_written_bytes bigint, spilled_bytes bigint"
 )
+LOG_FIELDS = ["stages", "tasks", "task_seconds", "longest_task_seconds", "shuffle_read_bytes",
+              "shuffle_written_bytes", "spilled_bytes"]
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
+
+def deployment(spark: SparkSession) -> tuple[str, int, int, int]:
+    """(executor memory, cores of an executor, executors, cores of a task) of the session. On a local
+    master, one executor has all its cores."""
+    sc = spark.sparkContext
+    conf = sc.getConf()
+    local = sc.master.startswith("local")
+    memory = conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g")
+    task_cpus = int(conf.get("spark.task.cpus", "1"))
+    if local:
+        return memory, sc.defaultParallelism, 1, task_cpus
+    instances = conf.get("spark.executor.instances", None)
+    cores = int(conf.get("spark.executor.cores", "1"))
+    return memory, cores, int(instances) if instances else max(sc.defaultParallelism // cores, 1), task_cpus
 
 
 def run_once(spark: SparkSession, load: Callable[[], DataFrame], model: str = "ols",
@@ -48,17 +75,30 @@ def run_once(spark: SparkSession, load: Callable[[], DataFrame], model: str = "o
 def sweep(spark: SparkSession, load: Callable[[], DataFrame], partition_sizes: list[int],
           parallelism: list[int] | None = None, model: str = "ols", make_config=None) -> DataFrame:
     """One run record per (partition size, parallelism)."""
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    records = []
+    sc = spark.sparkContext
+    old, merges = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get(COALESCE)
+    group = {k: sc.getLocalProperty(k) for k in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")}
+    settings, records, name = deployment(spark), [], uuid.uuid4().hex
     try:
+        spark.conf.set(COALESCE, "false")
         for ps in partition_sizes:
             spark.conf.set("spark.sql.shuffle.partitions", str(ps))
             for par in parallelism or [1]:
+                sc.setJobGroup(f"{name}-{len(records)}", f"sweep: {ps} partitions, {par} fits at a time")
                 c, t, n, rmse = run_once(spark, load, model, par, make_config)
-                records.append((ps, par, c, t, n, rmse))
+                records.append((f"{name}-{len(records)}", ps, par, c, t, n, rmse, *settings))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    return spark.createDataFrame(records, RUN_SCHEMA)
+        spark.conf.set(COALESCE, merges)
+        for k, v in group.items():
+            sc.setLocalProperty(k, v)
+    fields = RUN_SCHEMA.split(", ")
+    runs = spark.createDataFrame(records, ", ".join(["run string", *fields[:-len(LOG_FIELDS)]]))
+    path = event_log_path(spark)
+    if path is None:
+        return runs.select(*runs.columns[1:], *[F.lit(None).cast(f.split()[1]).alias(f.split()[0]) for f in fields[-len(LOG_FIELDS):]])
+    figures = run_figures(spark, path).select("run", *LOG_FIELDS)
+    return materialize(runs.join(F.broadcast(runs.select("run")).join(figures, "run"), "run", "left").drop("run"), "runs")
 
 
 def write_run_records(df: DataFrame, path: str) -> str:

@@ -4,13 +4,14 @@ headers, and convert-once CSV -> Parquet."""
 from __future__ import annotations
 
 import json
-from collections import OrderedDict
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.nulls import nan_to_null
+from tarmac.session import scratch_path
 
 # The flight table's columns and types (29 columns, all nullable).
 FLIGHT_INT = ["Year", "Month", "DayofMonth", "DayOfWeek", "FlightNum", "Cancelled", "Diverted"]
@@ -50,11 +51,7 @@ def read_csv(
     ``max_partition_bytes`` sets the split size (block size) of the scan.
     """
     if max_partition_bytes:  # in a session of its own: the caller's scans keep their split size
-        settings = dict(spark.conf.getAll)
-        spark = spark.newSession()
-        for k, v in settings.items():
-            if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
-                spark.conf.set(k, v)
+        spark = _session_like(spark)
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(max_partition_bytes)))
     reader = spark.read.option("header", True).option("nullValue", null_value)
     reader = reader.option("mode", "PERMISSIVE")
@@ -110,7 +107,11 @@ def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
         line = reader.readLine() or ""
     finally:
         stream.close()
-    return tuple(h.strip().strip('"') for h in line.rstrip("\r\n").split(","))
+    return _header_columns(line)
+
+
+def _header_columns(line: str) -> tuple[str, ...]:
+    return tuple(h.strip().strip('"') for h in line.lstrip("\ufeff").rstrip("\r\n").split(","))
 
 
 def read_headers(spark: SparkSession, paths: list[str], threads: int = 32) -> list[tuple[str, ...]]:
@@ -126,6 +127,45 @@ def read_headers(spark: SparkSession, paths: list[str], threads: int = 32) -> li
         return list(pool.map(lambda f: read_header(spark, f), paths))
 
 
+def header_lines(spark: SparkSession, directory: str, suffix: str = ".csv", recursive: bool = False) -> DataFrame:
+    """(path, header): the first line of every file under ``directory`` whose name ends in ``suffix``.
+
+    Each file is one partition of a text scan, and its task stops after the first line, so the
+    files are opened by the tasks and not read through. Spark lists many sub-folders in a job. Files without a line
+    have no row.
+    """
+    own = _session_like(spark)      # the split size below holds for this scan only
+    one_file = str(1 << 60)
+    own.conf.set("spark.sql.files.maxPartitionBytes", one_file)
+    own.conf.set("spark.sql.files.openCostInBytes", one_file)
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = own.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").text(directory)
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
+    if not recursive:
+        fs, p, _ = _hadoop_fs(spark, directory)
+        root = fs.makeQualified(p).toUri().getPath().rstrip("/")
+        inner = F.regexp_replace("path", "^[^:/]+:(//[^/]*)?", "")
+        lines = lines.where(F.size(F.split(inner, "/")) == root.count("/") + 2)
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    return lines.mapInArrow(first, "path string, header string")
+
+
+def _session_like(spark: SparkSession) -> SparkSession:
+    """A session of its own with the same SQL settings, to change some of them for one scan."""
+    own = spark.newSession()
+    for k, v in dict(spark.conf.getAll).items():
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own
+
+
 def read_csv_directory(
     spark: SparkSession,
     directory: str,
@@ -138,16 +178,21 @@ def read_csv_directory(
 
     Spark matches CSV columns by position across the files of one read, so files
     are grouped by header: one scan per distinct header, then ``unionByName`` with
-    missing columns as NULL. Only header lines are read on the driver.
+    missing columns as NULL. Tasks read the header lines (``header_lines``, written once), the
+    distinct ones reach the driver. Each header's scan is one of the whole folder, cut to its files by
+    their paths before it starts; with a single header, which is usual, not even the paths are needed.
     """
-    files = list_files(spark, directory, suffix, recursive)
-    if not files:
-        raise FileNotFoundError(f"no '{suffix}' files in {directory}")
-    groups: OrderedDict[tuple[str, ...], list[str]] = OrderedDict()
-    for f, header in zip(files, read_headers(spark, files)):
-        groups.setdefault(header, []).append(f)
+    headers = scratch_path(spark, "headers")
+    header_lines(spark, directory, suffix, recursive).write.parquet(headers)
+    found = spark.read.schema("path string, header string").parquet(headers)
+    # one row per distinct header, in the order of their first files
+    kinds = found.groupBy("header").agg(F.min("path").alias("first")).orderBy("first").collect()
+    if not kinds:
+        raise FileNotFoundError(f"no '{suffix}' files with a header in {directory}")
+    whole = recursive and len(kinds) == 1
     frames = []
-    for header, paths in groups.items():
+    for kind in kinds:
+        header = _header_columns(kind["header"])
         if schema is not None:
             by_name = {f.name: f for f in schema.fields}
             part_schema = T.StructType([
@@ -155,7 +200,12 @@ def read_csv_directory(
             ])
         else:
             part_schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
-        frames.append(read_csv(spark, paths, schema=part_schema, null_value=null_value))
+        part = spark.read.option("header", True).option("nullValue", null_value).option("mode", "PERMISSIVE") \
+            .option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").schema(part_schema).csv(directory)
+        if not whole:  # the planner of a scan needs its files; a filter on the path picks them from the listing
+            paths = [r["path"] for r in found.where(F.col("header") == kind["header"]).select("path").toLocalIterator()]
+            part = part.where(F.col("_metadata.file_path").isin(paths))
+        frames.append(nan_to_null(part))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

@@ -142,3 +142,36 @@ def test_materialize_spreads_single_task_input(spark, ship_small):
     assert m.count() == ship_small.count()
     assert m.rdd.getNumPartitions() >= 1
     assert m.agg(F.sum("l_orderkey")).first()[0] == ship_small.agg(F.sum("l_orderkey")).first()[0]
+
+
+def test_header_lines_are_read_by_tasks(spark):
+    base = _local(scratch_path(spark, "headerfiles"))
+    _write_text(f"{base}/one.csv", "a,b\n" + "1,x\n" * 50_000)
+    _write_text(f"{base}/tw o.csv", "b,a,c\nz,3,9\n")
+    _write_text(f"{base}/three.csv", "a,b\n2,y\n")
+    _write_text(f"{base}/none.csv", "")
+    _write_text(f"{base}/skip.txt", "no,table\n")
+    _write_text(f"{base}/k=1/deep.csv", "b,a\nq,4\n")
+    found = {os.path.basename(r.path): r.header for r in R.header_lines(spark, base).collect()}
+    assert found == {"one.csv": "a,b", "tw%20o.csv": "b,a,c", "three.csv": "a,b"}
+    assert R.header_lines(spark, base, recursive=True).count() == 4
+    df = R.read_csv_directory(spark, base)
+    assert df.count() == 50_002 and df.columns == ["a", "b", "c"]
+    assert sorted(tuple(r) for r in df.where("a <> '1'").collect()) == [("2", "y", None), ("3", "z", "9")]
+    deep = R.read_csv_directory(spark, base, recursive=True)
+    assert deep.where("a = '4' and b = 'q' and c is null").count() == 1 and deep.count() == 50_003
+    with pytest.raises(FileNotFoundError):
+        R.read_csv_directory(spark, base, suffix=".tsv")
+
+
+def test_each_header_scans_only_its_files(spark):
+    base = _local(scratch_path(spark, "headerscan"))
+    for i in range(6):
+        _write_text(f"{base}/f{i}.csv", "a,b\n1,2\n" if i % 3 else "b,a\n2,1\n")
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))   # a partition for each file
+    try:
+        df = R.read_csv_directory(spark, base)
+        assert df.rdd.getNumPartitions() == 6 and df.where("a = '1' and b = '2'").count() == 6
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)

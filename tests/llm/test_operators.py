@@ -18,6 +18,7 @@ from tarmac.llm.ngram_join import near_duplicates, one_of_each
 from tarmac.llm.prefix_hash import PrefixHashes, common_extension
 from tarmac.llm.quality import expectation_maximisation, quality
 from tarmac.llm.queries import table, tokenizer_path
+from tarmac.llm import sharding
 from tarmac.llm.sharding import shard_rows
 from tarmac.llm.suffix_dedup import merge_sort, suffix_dedup
 from tarmac.llm.token_counts import PieceTable, long_count, piece_scores, token_counts, trie_counts
@@ -251,6 +252,54 @@ def test_shards_keep_copies_together_in_full_tables(ready):
     assert sum(len(x) > 1 for x in where.values()) < 10
 
 
+def cut_of(where: dict, links: list) -> int:
+    return sum(w for u, v, w in links if u in where and v in where and where[u] != where[v])
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_shards_follow_links(ready, copies):
+    """Communities of linked documents: far fewer links are cut than by the first placing, counts stay even, copies stay together."""
+    rng = random.Random(copies)
+    n, shards = 240, 8
+    docs = [(copies * i + k, f"text {i}") for i in range(n) for k in range(copies)]
+    pairs = set()
+    for i in range(n):  # 10 communities of 24
+        pairs |= {tuple(sorted((i, i // 24 * 24 + rng.randrange(24)))) for _ in range(4)}
+    links = [(copies * u, copies * v + copies - 1, 1 + (u + v) % 3) for u, v in sorted(pairs) if u != v] + [(0, 10**9, 5), (None, 3, 5), (7, 7, 9)]
+    table = ready.createDataFrame(links, "u long, v long, weight long")
+    frame = ready.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["shard"] for r in shard_rows(frame, shards, links=table).collect()}
+    start = {r["doc_id"]: r["shard"] for r in shard_rows(frame, shards).collect()}
+    assert sorted(got) == sorted(d for d, _ in docs)
+    counts = Counter(got.values())
+    assert {counts[s] - n * copies // shards for s in range(shards)} <= {0, 1}
+    known = [x for x in links if x[0] is not None and x[1] < 10**9 and x[0] != x[1]]
+    assert cut_of(got, known) < 0.6 * cut_of(start, known)
+    split = sum(len({got[copies * i + k] for k in range(copies)}) > 1 for i in range(n))
+    assert split < shards
+
+
+def test_improving_rounds_count_and_lower_the_cut(ready):
+    """The weight of the links cut against a plain count, before and after rounds in full shards (swaps only)."""
+    rng = random.Random(5)
+    members = {k: 2 for k in range(60)}
+    at = {k: k % 6 for k in members}
+    pairs = {(a, b): rng.randrange(1, 5) for a in members for b in members if a < b and a // 10 == b // 10 and rng.random() < 0.5}
+    both = [(a, a, b, b, w) for (a, b), w in pairs.items()] + [(b, b, a, a, w) for (a, b), w in pairs.items()]
+    links = ready.createDataFrame(both, "g1 long, g2 long, h1 long, h2 long, weight long")
+    labels = ready.createDataFrame([(k, k, members[k], at[k]) for k in members], "g1 long, g2 long, members long, at int")
+    plain = lambda where: sum(w for (a, b), w in pairs.items() if where[a] != where[b])
+    assert sharding.cut_weight(links, labels) == plain(at)
+    room = [0] * 6
+    moved = sharding.improve(labels, links, room)
+    where = {r["g1"]: r["at"] for r in moved.collect()}
+    assert sharding.cut_weight(links, moved) == plain(where) < plain(at)
+    load = Counter()
+    for k, s in where.items():
+        load[s] += members[k]
+    assert room == [0] * 6 and all(load[s] == 20 for s in range(6))
+
+
 # --- decontamination
 
 def test_contamination(awkward, clean, texts, ready):

@@ -80,6 +80,7 @@ class ChunkEncoder:
         added = self.tokenizer.get_added_tokens_decoder()
         self.separator = max(((i, t.content) for i, t in added.items()), default=None)
         self.special = [t.content.encode() for t in added.values()]
+        self._check_spaces()
         self.lower = self._lowers()
         self.mean_bytes, self.max_chunk_bytes = mean_bytes, max_chunk_bytes
         self.chunks: dict[bytes, tuple] = {}
@@ -90,6 +91,19 @@ class ChunkEncoder:
         self.older: tuple[dict, dict] = {}, {}  # pieces and units of the generation before
         self.met, self.made = 0, 0
 
+    def _check_spaces(self) -> None:
+        """White space must end a pre-token and have no ids of its own, and decoding must put one space between
+        words: joins are repaired from white space to white space. Other tokenizers are refused."""
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        decode = lambda x: self.tokenizer.decode(x, skip_special_tokens=False)
+        words = ["ab", "Zq", "7", "don't", "é", ".", "日本"]
+        for space in map(chr, np.flatnonzero(_SPACE)):
+            for a, b in zip(words, words[1:] + words[:1], strict=True):
+                parts = ids(a), ids(b)
+                whole = ids(f"{space}{a}{space}{space}{b}{space}")
+                if whole != parts[0] + parts[1] or decode(whole) != " ".join(decode(x) for x in parts if x):
+                    raise ValueError(f"white space {space!r} does not part the words of this tokenizer: chunks can't be joined exactly")
+
     def _lowers(self) -> bool:
         """Whether the tokenizer lower-cases A-Z and ends pre-tokens between ASCII letters,
         digits and other signs (then ASCII pieces may be taken apart there)."""

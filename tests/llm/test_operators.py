@@ -119,6 +119,11 @@ def test_encode_decode_matches_the_library(awkward, bpe_path):
     assert Counter(tuple(r) for r in encode_decode(awkward, bpe_path, texts=False).collect()) == want
 
 
+def test_tokenizers_that_join_spaces_to_words_are_refused():
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f, pytest.raises(ValueError, match="does not part the words"):
+        ChunkEncoder(f.read())
+
+
 @pytest.mark.parametrize("mean", [2, 16, 1024])
 def test_chunk_joins_are_repaired(bpe_path, mean):
     t = tokenizers.Tokenizer.from_file(bpe_path)

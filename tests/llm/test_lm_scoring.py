@@ -60,6 +60,32 @@ def test_held_out_gain(ready):
     assert sum(r["score"] > r["base_score"] for r in got) >= 0.9 * len(got)
 
 
+def test_every_training_row_is_learnt_from(ready):
+    """All tokens of all rows reach the training, however small the shards are planned; few shards learn in every round."""
+    sizes = [40 + d % 7 for d in range(120)]
+    numbers = ready.createDataFrame([(d, [k % 5 for k in range(n)]) for d, n in enumerate(sizes)], "doc_id long, ids array<int>")
+    for (fit_docs, fit_tokens, shards, rounds), passes in (((10, 100, 2, 3), 1), ((500, 10_000, 2, 3), 3), ((500, 10_000, 2, 0), 0)):
+        seen = ready.sparkContext.accumulator(0)
+
+        class Held:
+            class value:  # stands for the vocabulary
+                @staticmethod
+                def model():
+                    model = Gru(np.array([9.0, 8, 7, 6, 5]), 0, hidden=2, classes=2)
+                    model.learn = lambda texts, width: seen.add(sum(map(len, texts)))
+                    return model
+
+        lm.fit(numbers, Held, fit_docs, fit_tokens, shards, rounds)
+        assert seen.value == passes * sum(sizes)
+
+
+def test_weights_in_pieces():
+    a, b = (Gru(np.array([9.0, 8, 7, 6, 5]), 0, hidden=3, classes=2, seed=s) for s in (1, 2))
+    b.take(a.parts(7))
+    for x, y in ((a.p, b.p), (a.squares, b.squares)):
+        assert all(np.array_equal(x[k], y[k]) for k in x)
+
+
 @pytest.fixture
 def small():
     counts = np.array([9, 7, 5, 4, 3, 2, 2, 1, 1, 1], float)

@@ -74,16 +74,40 @@ def shingle_sets(texts: list[str], n: int = 5) -> list[np.ndarray]:
     return sets
 
 
-def prefix_of(tokens: np.ndarray, blooms: list[Bloom], share: int) -> np.ndarray:
-    """The prefix of a set in the common order: by the last filter that knows a shingle
-    (none first), then by hash."""
-    n = len(tokens)
-    size = n - (share * n + 99) // 100 + 1
-    order = np.argsort(mix(tokens))  # no ties: mix gives different values for different hashes
-    if blooms:
-        known = sum((in_bloom(b, tokens).astype(np.int8) for b in blooms), np.zeros(n, np.int8))
-        order = order[np.argsort(known[order], kind="stable")]
-    return tokens[order[:size]]
+def prefixes_of(sets: list[np.ndarray], blooms: list[Bloom], share: int) -> list[np.ndarray]:
+    """The prefix of each set in the common order: by the last filter that knows a shingle
+    (none first), then by hash. The filters are asked for all sets together."""
+    whole = np.concatenate([np.zeros(0, np.uint64), *sets])
+    mixed = mix(whole)  # no ties: mix gives different values for different hashes
+    known = sum((in_bloom(b, whole).astype(np.int8) for b in blooms), np.zeros(len(whole), np.int8)) if blooms else None
+    out, at = [], 0
+    for s in sets:
+        n = len(s)
+        left = n - (share * n + 99) // 100 + 1 if n else 0
+        own, parts = mixed[at:at + n], []
+        for level in range(len(blooms) + 1):
+            here = np.flatnonzero(known[at:at + n] == level) if blooms else np.arange(n)
+            order = own[here]
+            if len(here) > left:  # the least ones, before they are put in order
+                least = np.argpartition(order, left - 1)[:left]
+                here, order = here[least], order[least]
+            parts.append(here[np.argsort(order)])
+            left -= len(here)
+            if not left:
+                break
+        out.append(s[np.concatenate(parts)] if len(parts) > 1 else s[parts[0]])
+        at += n
+    return out
+
+
+def digests(sets: list[np.ndarray], k: int) -> pa.Array:
+    """A hash of each whole set (0 of an empty one)."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    out = np.zeros(len(sets), np.uint64)
+    if sizes.any():
+        firsts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        out[sizes > 0] = np.bitwise_xor.reduceat(mix(np.concatenate(sets) * np.uint64(k)), firsts)
+    return pa.array(out.view(np.int64))
 
 
 def similar_pairs_filter(a: str, b: str, share: int) -> F.Column:
@@ -113,7 +137,7 @@ class Join:
             for batch in batches:
                 for part in slices(batch):
                     sets = shingle_sets(part.column("text").to_pylist(), n)
-                    got = np.concatenate([prefix_of(s, [], share) for s in sets if len(s)] or [np.zeros(0, np.uint64)])
+                    got = np.concatenate([np.zeros(0, np.uint64), *prefixes_of(sets, [], share)])
                     own, count = np.unique(got, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(count)], names=["token", "c"])
 
@@ -125,15 +149,13 @@ class Join:
         def task():
             def each(part: pa.RecordBatch) -> dict:
                 sets = shingle_sets(part.column("text").to_pylist(), n)
-                firsts = [prefix_of(s, [twice.value, hot.value], share) if len(s) else s for s in sets]
-                signed = lambda xs: pa.array([np.uint64(x).astype(np.int64) for x in xs], pa.int64())
-                digest = lambda s, k: np.bitwise_xor.reduce(mix(s * np.uint64(k))) if len(s) else 0
+                firsts = prefixes_of(sets, [twice.value, hot.value], share)
                 return {
                     "doc_id": part.column("doc_id"),
                     "n": pa.array(map(len, sets), pa.int64()),
-                    "s1": signed([digest(s, 0xD6E8FEB86659FD93) for s in sets]),
-                    "s2": signed([digest(s, 0xA0761D6478BD642F) for s in sets]),
-                    "p": signed([digest(s, 0xE7037ED1A0B428DB) for s in firsts]),
+                    "s1": digests(sets, 0xD6E8FEB86659FD93),
+                    "s2": digests(sets, 0xA0761D6478BD642F),
+                    "p": digests(firsts, 0xE7037ED1A0B428DB),
                     "prefix": pa.array([s.view(np.int64) for s in firsts], pa.list_(pa.int64())),
                 }
 

@@ -79,7 +79,7 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         added = self.tokenizer.get_added_tokens_decoder()
         self.separator = max(((i, t.content) for i, t in added.items()), default=None)
-        self.special = [t.content.encode() for t in added.values()]
+        self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in added.values()) or b"(?!)")
         self._check_spaces()
         self.lower = self._lowers()
         self.mean_bytes, self.max_chunk_bytes = mean_bytes, max_chunk_bytes
@@ -110,52 +110,55 @@ class ChunkEncoder:
         same = self.tokenizer.encode("AbC,x1", add_special_tokens=False).ids
         return same == [i for u in ("abc", ",", "x", "1") for i in self.tokenizer.encode(u, add_special_tokens=False).ids]
 
-    def _encode(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), self.tokenizer.decode(ids, skip_special_tokens=False)
+    def _encoded(self, texts: list[bytes], ids: list[list[int]]) -> None:
+        """Note the ids of units and their decoding, all in one call."""
+        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        self.units.update(zip(texts, [(len(x), " ".join(map(str, x)), d) for x, d in zip(ids, decoded, strict=True)], strict=True))
 
     def _recalled(self, wanted: set[bytes], known: dict, older: dict) -> set[bytes]:
         """What is in neither generation; what the older has goes on in the newer."""
-        new = wanted - known.keys()
-        back = new & older.keys()
+        new = wanted.difference(known)  # looks each one up; the keys of a large dict are not walked
+        back = {p for p in new if p in older} if older else set()
         for p in back:
             known[p] = older[p]
-        self.piece_bytes += sum(400 + 8 * len(p) for p in new)  # about what a piece takes with its ids and text
-        return new - back
+        self.piece_bytes += 400 * len(new) + 8 * sum(map(len, new))  # about what a piece takes with its ids and text
+        return new - back if back else new
 
     def _encode_units(self, units: set[bytes]) -> None:
         """Encode short texts; many are encoded in one call, parted by a special token."""
-        known = self.units
-        new = self._recalled(units, known, self.older[1])
-        for u in new:
-            if self.separator is None or any(x in u for x in self.special):
-                known[u] = self._encode(self.tokenizer.encode(u.decode(), add_special_tokens=False).ids)
-        many = [u for u in new if u not in known]
+        many, alone = [], []
+        for u in self._recalled(units, self.units, self.older[1]):
+            (alone if self.separator is None or self.special.search(u) else many).append(u)
+        self._encoded(alone, [self.tokenizer.encode(u.decode(), add_special_tokens=False).ids for u in alone])
         groups = [many[i:i + 256] for i in range(0, len(many), 256)]
         for i in range(0, len(groups), 64):
-            texts = [self.separator[1].join([u.decode() for u in g]) for g in groups[i:i + 64]]
+            texts = [self.separator[1].encode().join(g).decode() for g in groups[i:i + 64]]
             for g, e in zip(groups[i:i + 64], self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                ids, at = e.ids, 0
-                for u in g[:-1]:
+                ids, at, lists = e.ids, 0, []
+                for _ in g[:-1]:
                     end = ids.index(self.separator[0], at)
-                    known[u] = self._encode(ids[at:end])
+                    lists.append(ids[at:end])
                     at = end + 1
-                known[g[-1]] = self._encode(ids[at:])
+                self._encoded(g, [*lists, ids[at:]])
 
     def _need(self, wanted: set[bytes]) -> None:
         """Have the encodings of texts between white spaces, by their pre-tokens where these are plain."""
         new = self._recalled(wanted, self.pieces, self.older[0])
-        plain = {p: _ASCII.findall(p.lower()) if self.lower and p.isascii() and b"'" not in p and b"<|" not in p else [p] for p in new}
-        self._encode_units({u for us in plain.values() for u in us})
-        units = self.units
+        if self.lower:  # letters alone are one unit
+            plain = {p: (p if p.islower() else p.lower(),) if p.isalpha() else _ASCII.findall(p.lower()) if p.isascii() and b"'" not in p and b"<|" not in p else (p,) for p in new}
+        else:
+            plain = {p: (p,) for p in new}
+        self._encode_units(set().union(*plain.values()))
+        units, pieces = self.units, self.pieces
         for p, us in plain.items():
-            self.pieces[p] = units[us[0]] if len(us) == 1 else self._joined([units[u] for u in us])
+            pieces[p] = units[us[0]] if len(us) == 1 else self._joined([units[u] for u in us])
 
     @staticmethod
     def _joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
         if not parts:
             return 0, "", ""
         n, ids, decoded = zip(*parts, strict=True)
-        if 0 in n:  # a text without ids leaves no space
+        if not all(n):  # a text without ids leaves no space
             ids, decoded = [x for x in ids if x], [x for c, x in zip(n, decoded, strict=True) if c]
         return sum(n), " ".join(ids), " ".join(decoded)
 
@@ -196,7 +199,7 @@ class ChunkEncoder:
         pieces = self.pieces
         self._need(set().union(*[words for _, words, _, _ in split.values()]))
         for c, (head, words, tail, spaced) in split.items():
-            self.chunks[c] = (head, self._joined([pieces[w] for w in words]), tail, spaced)
+            self.chunks[c] = (head, self._joined(list(map(pieces.__getitem__, words))), tail, spaced)
             self.chunk_bytes += 3 * len(c)
         # Repair the joins: what lies between two white spaces around a cut is one piece.
         plans, joins = [], set()

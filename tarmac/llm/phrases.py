@@ -167,7 +167,7 @@ class Miner:
 
     def suffixes(self, pairs, heavy) -> DataFrame:
         """Suffixes that begin with a frequent pair, cut before a rare one, equal ones of a task as
-        one (w1..w4, c, route, heavy), and the words in them (w1, lang, word)."""
+        one (w1..w4, c, heavy), and the words in them (w1, lang, word)."""
         names = [f"w{k + 1}" for k in range(MAX_WORDS)]
 
         def run(batches):
@@ -177,9 +177,8 @@ class Miner:
                 words, count = collapsed(np.concatenate(parts), np.ones(held, np.int64))
                 key = mix(words[:, 0] * _PAIR + words[:, 1])
                 hot = np.isin(key, heavy.value)
-                route = np.where(hot, mix(key ^ words[:, 2]), key)
                 none = pa.nulls(len(words), pa.string())
-                return pa.RecordBatch.from_arrays([*[_long(words[:, k]) for k in range(MAX_WORDS)], pa.array(count), _long(route), pa.array(hot), none, none], names=[*names, "c", "route", "heavy", "lang", "word"])
+                return pa.RecordBatch.from_arrays([*[_long(words[:, k]) for k in range(MAX_WORDS)], pa.array(count), pa.array(hot), none, none], names=[*names, "c", "heavy", "lang", "word"])
 
             for batch in batches:
                 for part in slices(batch):
@@ -207,15 +206,15 @@ class Miner:
                         n = len(spots)
                         no = pa.nulls(n, pa.int64())
                         yield pa.RecordBatch.from_arrays(
-                            [_long(hashes[new]), no, no, no, no, no, pa.nulls(n, pa.bool_()), pa.array([langs[int(of[w.row[i]])].as_py() for i in spots], pa.string()), pa.array([w.text(i).decode() for i in spots], pa.string())],
-                            names=[*names, "c", "route", "heavy", "lang", "word"])
+                            [_long(hashes[new]), no, no, no, no, pa.nulls(n, pa.bool_()), pa.array([langs[int(of[w.row[i]])].as_py() for i in spots], pa.string()), pa.array([w.text(i).decode() for i in spots], pa.string())],
+                            names=[*names, "c", "heavy", "lang", "word"])
                     if held > GATHERED:
                         yield out()
                         parts, held = [], 0
             if held:
                 yield out()
 
-        return self.docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", c long, route long, heavy boolean, lang string, word string")
+        return self.docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", c long, heavy boolean, lang string, word string")
 
     def phrase_counts(self, suffixes: DataFrame) -> DataFrame:
         """(p, a): frequent phrases of two words and more, as arrays of word hashes."""
@@ -246,7 +245,7 @@ class Miner:
         rows = suffixes.where("c is not null")
         shards = max(partitions(self.spark), -(-rows.count() // SHARD_ROWS))
         columns = [*[f"w{k + 1}" for k in range(MAX_WORDS)], "c", "heavy"]
-        sizes = rows.repartition(shards, "route").select(*columns).mapInArrow(run, "p array<long>, a long")
+        sizes = rows.repartition(shards, "w1", "w2", F.when(F.col("heavy"), F.col("w3"))).select(*columns).mapInArrow(run, "p array<long>, a long")
         return sizes.groupBy("p").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
 
     def frequent(self) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -89,3 +89,11 @@ def test_words_of_slices():
     assert w.hash[1] == w.hash[7] and len(set(w.hash.tolist())) == 8
     assert (w.piece[2] != w.piece[3]) and (w.piece[3] == w.piece[4]) and w.piece[6] != w.piece[7]
     assert len(cut_words(pa.array([], pa.string()), byte_classes(b" ")).row) == 0
+
+
+def test_saved_suffixes_hold_nothing_derived(ready, rows):
+    """A suffix is its words and its number: where it goes follows from them and is not written."""
+    docs = ready.createDataFrame(rows, "doc_id long, text string, lang string")
+    miner = ph.Miner(docs, "text", "lang", 3)
+    none = ready.sparkContext.broadcast(np.zeros(0, np.uint64))
+    assert miner.suffixes(none, none).columns == ["w1", "w2", "w3", "w4", "c", "heavy", "lang", "word"]

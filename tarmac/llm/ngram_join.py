@@ -110,6 +110,26 @@ def digests(sets: list[np.ndarray], k: int) -> pa.Array:
     return pa.array(out.view(np.int64))
 
 
+def owners(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all sets in order, and the number of the set that each is from."""
+    held = np.concatenate([np.zeros(0, np.uint64), *sets])
+    order = np.argsort(held)
+    return held[order], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
+
+
+def shared_counts(index: tuple[np.ndarray, np.ndarray], tokens: np.ndarray, n: int) -> np.ndarray:
+    """How many of ``tokens`` each of the ``n`` sets of ``index`` holds."""
+    held, owner = index
+    both = np.zeros(n, np.int64)
+    for at in range(0, len(tokens), 4096):  # so many are met at most by all sets of a block at once
+        part = tokens[at:at + 4096]
+        first = np.searchsorted(held, part)
+        times = np.searchsorted(held, part, "right") - first
+        place = np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
+        both += np.bincount(owner[place], minlength=n)
+    return both
+
+
 def similar_pairs_filter(a: str, b: str, share: int) -> F.Column:
     """Size and position filters for two posting entries of one token. At the first token that
     two sets share nothing before it is shared, so what remains bounds the overlap; alike sets
@@ -238,22 +258,22 @@ class Join:
         share = self.share
 
         def compare(batches):
-            key, ids, sizes, index, place = None, [], [], {}, None
+            key, ids, sizes, block_sets, index = None, [], [], [], None
             for batch in batches:
                 a, b = [], []
                 for k, block, role, i, raw in zip(*[batch.column(c).to_pylist() for c in ("k", "block", "role", "id", "set")], strict=True):
                     if (k, block) != key:
-                        key, ids, sizes, index = (k, block), [], [], {}
+                        key, ids, sizes, block_sets, index = (k, block), [], [], [], None
                     tokens = np.frombuffer(raw, np.uint64)
                     if not role:
-                        for t in tokens.tolist():
-                            index.setdefault(t, []).append(len(ids))
                         ids.append(i)
                         sizes.append(len(tokens))
+                        block_sets.append(tokens)
                         continue
-                    met = [x for t in tokens.tolist() for x in index.get(t, ())]
-                    both = np.bincount(np.array(met, np.int64), minlength=len(ids))
-                    for x in np.flatnonzero(100 * both >= share * (np.array(sizes, np.int64) + len(tokens) - both)).tolist():
+                    if index is None:
+                        index, block_sets, sizes = owners(block_sets), [], np.array(sizes, np.int64)
+                    both = shared_counts(index, tokens, len(ids))
+                    for x in np.flatnonzero(100 * both >= share * (sizes + len(tokens) - both)).tolist():
                         if ids[x] != i:
                             a.append(min(ids[x], i))
                             b.append(max(ids[x], i))

@@ -22,6 +22,15 @@ def test_prefixes_and_digests_of_many_sets():
     assert ngram_join.digests([], k).to_pylist() == [] and ngram_join.prefixes_of([], [], 80) == []
 
 
+def test_shared_counts_of_a_block():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in (0, 1, 40, 3000, 9000)]
+    for block in (sets, sets[:1], []):
+        for tokens in (*sets, np.arange(9000, dtype=np.uint64)):
+            got = ngram_join.shared_counts(ngram_join.owners(block), tokens, len(block))
+            assert got.tolist() == [len(np.intersect1d(s, tokens)) for s in block]
+
+
 def test_known_pieces_are_looked_up_not_walked():
     class Walked(dict):
         def keys(self):

@@ -112,6 +112,39 @@ def test_lanes_and_windows_do_not_matter(small):
     assert alone[3] == 0
 
 
+def test_long_text_is_read_in_few_passes(small, monkeypatch):
+    """Where few lanes are left, a pass over the classes takes more steps of them."""
+    model, texts = small
+    texts = [*texts, np.arange(2000) % 10]
+    alone = [model.score([t])[0] for t in texts]
+    passes, plain = [], model.log_probs
+    monkeypatch.setattr(model, "log_probs", lambda h, word: passes.append(len(word)) or plain(h, word))
+    np.testing.assert_allclose(model.score(texts, 16), alone, rtol=1e-5)
+    assert sum(passes) == sum(map(len, texts)) and len(passes) <= 8
+
+
+@pytest.mark.parametrize("factor", [1, 40, 4000])
+def test_large_weights(small, factor):
+    """Logits and gates beyond the range of the exponential: probabilities as by plain sums."""
+    model, texts = small
+    model.p = {name: v * factor for name, v in model.p.items()}
+    k, p, begin = model.hidden, model.p, 0
+
+    def log_softmax(x):
+        return x - x.max() - np.log(np.exp(x - x.max()).sum())
+
+    for text in texts[:3]:
+        h, before, total = np.zeros(k), begin, 0.0
+        for word in text:
+            given, a = p["x"][before] + p["b"], h @ p["u"]
+            z, r = np.split(0.5 * np.tanh(0.5 * (given + a)[:2 * k]) + 0.5, 2)
+            new = np.tanh(given[2 * k:] + r * a[2 * k:])
+            h, before, own = new + z * (h - new), word, model.of_class[word]
+            lo, hi = model.bounds[own], model.bounds[own + 1]
+            total += log_softmax(h @ p["wc"] + p["bc"])[own] + log_softmax(p["wo"][lo:hi] @ h + p["bo"][lo:hi])[word - lo]
+        assert model.score([text])[0] == pytest.approx(total / np.log(10), rel=1e-4)
+
+
 def test_gradient(small, monkeypatch):
     """Backpropagation against finite differences, over a window of two lanes with a new text in it."""
     model, _ = small

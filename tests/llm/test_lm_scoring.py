@@ -79,6 +79,31 @@ def test_every_training_row_is_learnt_from(ready):
         assert seen.value == passes * sum(sizes)
 
 
+def test_many_shards_learn_as_often_as_few(ready, monkeypatch):
+    """The rows to learn from are learnt from in as many passes as there are rounds, whether they fill two shards or fifty."""
+    docs = ready.createDataFrame([(d, "word " * (40 + d % 7)) for d in range(120)], "doc_id long, text string")
+    tokens = sum(41 + d % 7 for d in range(120) if zlib.crc32(str(d).encode()) % 10)
+    fit = lm.fit
+    for fit_docs, fit_tokens in ((10, 100), (20, 10_000), (500, 10_000)):
+        seen = ready.sparkContext.accumulator(0)
+
+        class Held:
+            class value:  # stands for the vocabulary
+                @staticmethod
+                def model(seen=seen):
+                    model = Gru(np.array([9.0, 8, 7]), 0, hidden=2, classes=2)
+                    model.learn = lambda texts, width: seen.add(sum(map(len, texts)))
+                    return model
+
+        def counted(numbers, words, *a, held=Held, **k):
+            fit(numbers, held, *a, **k)
+            return words.value.model().dump()
+
+        monkeypatch.setattr(lm, "fit", counted)
+        assert lm.lm_scores(docs, fit_docs=fit_docs, fit_tokens=fit_tokens, shards=2, rounds=3).count() == 120
+        assert seen.value == 3 * tokens
+
+
 def test_weights_in_pieces():
     a, b = (Gru(np.array([9.0, 8, 7, 6, 5]), 0, hidden=3, classes=2, seed=s) for s in (1, 2))
     b.take(a.parts(7))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators.clean import ColumnAction, IqrBound, NullPolicyModel
 from tarmac.operators.encode import IndexModel
+from tarmac.plans.boosting import BoostingModel
 from tarmac.plans.pipeline import FittedPipeline, PipelineConfig
 from tarmac.plans.regularized import RegularizedModel
 from tarmac.sources.readers import path_exists
@@ -41,7 +42,8 @@ def save_pipeline(spark: SparkSession, fitted: FittedPipeline, path: str) -> str
     _labels(spark, fitted.index).write.parquet(f"{path}/labels")
     if fitted.scaler is not None:
         fitted.scaler.write().save(f"{path}/scaler")
-    if fitted.config.model != "regularized":
+    trees = isinstance(fitted.model, (BoostingModel, RegularizedModel))
+    if not trees:
         fitted.model.write().save(f"{path}/model")
     policy = fitted.policy
     state = {
@@ -54,7 +56,7 @@ def save_pipeline(spark: SparkSession, fitted: FittedPipeline, path: str) -> str
         "features": list(fitted.features),
         "scaler": fitted.scaler is not None,
         "bounds": [asdict(b) for b in fitted.outlier_bounds],
-        "trees": fitted.model.state() if fitted.config.model == "regularized" else None,
+        "trees": fitted.model.state() if trees else None,
     }
     spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.text(f"{path}/pipeline")
     return path
@@ -79,5 +81,6 @@ def load_pipeline(spark: SparkSession, path: str) -> FittedPipeline:
             labels[r["column"]].append(r["value"])
         index = IndexModel(**own, labels=labels)
     scaler = StandardScalerModel.load(f"{path}/scaler") if state["scaler"] else None
-    model = RegularizedModel.of(state["trees"]) if state["trees"] else MODELS[config.model].load(f"{path}/model")
+    own_trees = RegularizedModel if config.model == "regularized" else BoostingModel
+    model = own_trees.of(state["trees"]) if state["trees"] else MODELS[config.model].load(f"{path}/model")
     return FittedPipeline(config, policy, index, state["features"], scaler, model, [IqrBound(**b) for b in state["bounds"]])
